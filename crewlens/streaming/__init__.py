@@ -1,0 +1 @@
+"""Intentionally empty: every input is a finished extract, so all plans are batch."""
