@@ -1,5 +1,6 @@
 """Queries over the driver's tables and the SQL they are checked against."""
 
-from gate.queries import ORACLES, QUERIES
+from gate import operators, results
+from gate.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "operators", "results"]

@@ -1,54 +1,21 @@
-"""One query per operator family and per named result, each with its SQL.
-
-Money and shares are rounded on both sides because the order of addition differs.
-"""
-
-from collections.abc import Callable
+"""The named results of the report over the driver's tables, each with its SQL."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from crewlens import vocabulary as V
-from crewlens.functions import aggregates as A
-from crewlens.functions import parsing as P
 from crewlens.functions import scalars as S
-from crewlens.operators import columns, grouping, joins, ordered, reshape, rows, stats
-from crewlens.plans import employee, feeds, kpis, prepare
+from crewlens.operators import grouping, joins, rows, stats
+from crewlens.plans import employee, kpis, prepare
 from crewlens.sources.writers import kpi_lines
 from gate import sheets
+from gate.registry import query
 from gate.sheets import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
 SPEND_EDGES = (-0.1, 0.1, 2000.0, 3000.0, float("inf"))
 SEGMENT_EDGES = (-0.01, 0.0, 6500.0, 7000.0, float("inf"))
 
 
-def query(name: str, sql: str, digits: int = 4) -> Callable[[Query], Query]:
-    def register(plan: Query) -> Query:
-        QUERIES[name] = lambda spark, sf: tidy(plan(spark, sf), digits)
-        ORACLES[name] = sql
-        return plan
-
-    return register
-
-
-def tidy(df: DataFrame, digits: int) -> DataFrame:
-    """Whole numbers as bigint, doubles rounded, timestamps of whole days as dates."""
-    def shown(f: T.StructField):
-        c = P.col(f.name)
-        if isinstance(f.dataType, (T.IntegerType, T.ShortType)):
-            c = c.cast("bigint")
-        elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits)
-        return c.alias(f.name)
-
-    return df.select(*[shown(f) for f in df.schema.fields])
-
-
 # --- SQL building blocks -------------------------------------------------------------------
 
 CUSTOMERS = "orders join customer on o_custkey = c_custkey"
