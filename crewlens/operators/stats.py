@@ -76,7 +76,8 @@ def histogram_by(df: DataFrame, x: str, group: str, bins: int) -> DataFrame:
     ends = known.agg(F.struct(F.min(col(x)).alias("low"), F.max(col(x)).alias("high")).alias("ends"))
     placed = known.select(col(group), col(x), ends.scalar().alias("_ends"))
     low, high = F.col("_ends.low"), F.col("_ends.high")
-    number = F.coalesce(F.least(F.width_bucket(col(x), low, high, F.lit(bins)), F.lit(bins)), F.lit(1))
+    # One value only: there is no width, and width_bucket is NULL.
+    number = F.least(F.coalesce(F.width_bucket(col(x), low, high, F.lit(bins)), F.lit(1)), F.lit(bins))
     width = (high - low) / F.lit(bins)
     counted = placed.groupBy(number.alias("bin"), col(group), low.alias("_low"), width.alias("_width")).agg(
         F.count(F.lit(1)).alias("n")

@@ -569,7 +569,7 @@ def feed_absence_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("feed_efficiency", f"""
-with {FINANCE} select year, round(nbi_per_fte, 2) nbi_per_fte, round(personnel_cost_per_fte, 2) personnel_cost_per_fte
-from finance""", digits=2)
+with {FINANCE} select year, round(nbi_per_fte, 6) nbi_per_fte, round(personnel_cost_per_fte, 6) personnel_cost_per_fte
+from finance""", digits=6)
 def feed_efficiency(spark: SparkSession, sf: str) -> DataFrame:
     return sheets.finance(spark, sf).select("year", "nbi_per_fte", "personnel_cost_per_fte")

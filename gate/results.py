@@ -233,10 +233,10 @@ def absence_group_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("finance_ratios", f"""
 with {FINANCE}
-select year, {", ".join(f"round({c}, 2) {c}" for c in (
+select year, {", ".join(f"round({c}, 6) {c}" for c in (
     "avg_fte_proxy", "nbi", "personnel_cost", "training_cost",
     "nbi_per_fte", "personnel_cost_per_fte", "training_cost_per_fte"))}
-from finance""", digits=2)
+from finance""", digits=6)
 def finance_ratios(spark: SparkSession, sf: str) -> DataFrame:
     return sheets.finance(spark, sf)
 

@@ -153,10 +153,11 @@ def finance_sheets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Orders pivoted to the two wide sheets: amounts per status, heads per priority."""
     orders = table(spark, sf, "orders").withColumn("_y", F.year("o_orderdate"))
     years = [FIRST_FINANCE_YEAR + i for i in range(len(V.FINANCE_YEARS))]
-    sign = F.when(F.col("o_orderstatus") == "F", F.lit(1.0)).otherwise(F.lit(-1.0))
+    money = F.col("o_totalprice").cast("decimal(18,2)")
+    amount = F.when(F.col("o_orderstatus") == "F", money).otherwise(-money)
     names = F.create_map(*[F.lit(x) for pair in STATUS_METRICS.items() for x in pair])
     pl = orders.groupBy(names[F.col("o_orderstatus")].alias("label")).agg(
-        *[F.sum(F.when(F.col("_y") == y, sign * F.col("o_totalprice"))).alias(f"c{y}") for y in years]
+        *[F.sum(F.when(F.col("_y") == y, amount)).cast("double").alias(f"c{y}") for y in years]
     )
     fte = orders.groupBy(priority().alias("label")).agg(
         *[F.count_if(F.col("_y") == y).cast("double").alias(f"c{y}") for y in years]
