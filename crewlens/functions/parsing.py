@@ -59,11 +59,16 @@ def ts_of(df: DataFrame, name: str) -> Column:
     return parse_ts(col(name))
 
 
+def date_of(df: DataFrame, name: str) -> Column:
+    """A column as date. A date column stays bare, so that filters on it reach the scan."""
+    return col(name) if isinstance(df.schema[name].dataType, T.DateType) else ts_of(df, name).cast("date")
+
+
 def dayfirst_of(df: DataFrame, name: str, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:
     """A column as date, parsed day first only where it is text."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        return col(name).cast("date")
+        return date_of(df, name)
     return parse_dayfirst(col(name), formats)
 
 
@@ -75,7 +80,10 @@ def std_key(c: Column) -> Column:
 def key_of(df: DataFrame, name: str) -> Column:
     """``std_key`` of a column; whole doubles go through decimal, so 1e7 does not become '1.0E7'."""
     c = col(name)
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return c.cast("string")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
         whole = (c == F.floor(c)) & (F.abs(c) < 1e18)
         return F.when(whole, c.cast("decimal(38,0)").cast("string")).otherwise(
             std_key(F.nanvl(c.cast("double"), F.lit(None).cast("double")))

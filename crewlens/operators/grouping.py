@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from crewlens.functions.aggregates import sum0
 from crewlens.functions.parsing import col
-from crewlens.session import materialise
+from crewlens.operators.lookup import join_group_facts
+from crewlens.operators.rows import drop_missing
 
 # percentile_approx is off by at most 1 / ACCURACY of the rows; the bracket around the
 # middle is taken forty times as wide.
@@ -17,7 +18,7 @@ MARGIN = 0.004
 
 def group_nonnull(df: DataFrame, *keys: str) -> GroupedData:
     """Group, leaving out rows with a missing key."""
-    return df.na.drop(subset=list(keys)).groupBy(*[col(k) for k in keys])
+    return drop_missing(df, *keys).groupBy(*[col(k) for k in keys])
 
 
 def label_dimension(df: DataFrame, key: str, labels: Sequence[str]) -> DataFrame:
@@ -76,7 +77,12 @@ def totals_with_mode(
 
 
 def medians(
-    df: DataFrame, group: str, values: Mapping[str, Column], approx: bool = False, stage: bool = False
+    df: DataFrame,
+    group: str,
+    values: Mapping[str, Column],
+    spread: Sequence[str] = (),
+    approx: bool = False,
+    stage: bool = False,
 ) -> DataFrame:
     """Exact medians of several expressions per non-null group.
 
@@ -86,22 +92,24 @@ def medians(
     percent of the values. The sketch bound makes a bracket that misses the middle impossible;
     should it happen nevertheless, the query fails instead of returning a wrong value.
 
-    ``approx=True`` stops after the sketch. ``stage=True`` writes the brackets to the shared
-    folder first: their size is then known before the join is planned, so that they are
-    broadcast if small and the rows are not shuffled at all.
+    ``spread`` names columns that tell the rows of a large group apart. ``approx=True`` stops
+    after the sketch. ``stage=True`` writes the brackets to the shared folder first: if they
+    are few, they are broadcast and the rows are not shuffled at all.
     """
-    rows = df.where(col(group).isNotNull()).select(col(group), *[c.alias(n) for n, c in values.items()])
+    known = drop_missing(df, group)
+    named = [c.alias(n) for n, c in values.items()]
+    rows = known.select(col(group), *named)
     if approx:
         return rows.groupBy(col(group)).agg(
             *[F.percentile_approx(F.col(n), 0.5, ACCURACY).cast("double").alias(n) for n in values]
         )
-    cuts = [F.lit(0.5 - MARGIN), F.lit(0.5 + MARGIN)]
+    cuts = F.array(F.lit(0.5 - MARGIN), F.lit(0.5 + MARGIN))
     brackets = rows.groupBy(col(group)).agg(
-        *[F.percentile_approx(F.col(n), F.array(*cuts), ACCURACY).alias(f"_{n}") for n in values]
+        *[F.percentile_approx(F.col(n), cuts, ACCURACY).alias(f"_{n}") for n in values]
     )
-    if stage:
-        brackets = materialise(brackets, "brackets")
-    joined = rows.join(brackets, group)
+    told = [c for c in spread or df.columns if c != group]
+    apart = known.select(col(group), *named, F.xxhash64(*[col(c) for c in told]).alias("_apart"))
+    joined = join_group_facts(apart, brackets, group, "inner", ["_apart"], stage=stage)
     return joined.groupBy(col(group)).agg(*[_clamped_median(n).alias(n) for n in values])
 
 

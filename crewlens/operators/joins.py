@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from crewlens.functions.parsing import col
 from crewlens.operators.grouping import medians
-from crewlens.session import materialise
+from crewlens.operators.lookup import join_group_facts
 
 
 def enrich(master: DataFrame, facts: Sequence[DataFrame], key: str) -> DataFrame:
@@ -36,14 +36,17 @@ def fill_zero(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def with_group_medians(
-    df: DataFrame, group: str, values: Mapping[str, Column], approx: bool = False, stage: bool = False
+    df: DataFrame,
+    group: str,
+    values: Mapping[str, Column],
+    spread: Sequence[str] = (),
+    approx: bool = False,
+    stage: bool = False,
 ) -> DataFrame:
     """Attach per-group medians to every row; rows without a group get NULL.
 
-    Aggregate and join back, not a window, so that no group has to fit into one task. The
-    median table is broadcast only when its measured size allows it; otherwise the adaptive
-    shuffle join splits a hot group. ``stage=True`` writes the median table to the shared
-    folder first, so that its size is known before the wide side is shuffled.
+    Aggregate and join back, not a window, so that no group has to fit into one task. See
+    ``medians`` for the options.
     """
-    table = medians(df, group, values, approx, stage)
-    return df.join(materialise(table, "medians") if stage else table, group, "left")
+    table = medians(df, group, values, spread, approx, stage)
+    return join_group_facts(df, table, group, "left", spread, stage=stage)

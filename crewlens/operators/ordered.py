@@ -14,12 +14,19 @@ BLOCK_ROWS = 1 << 20
 def row_block(df: DataFrame, order: str, rows: int = BLOCK_ROWS) -> Column:
     """Block of a row: a function of its ordinal alone, ascending with it.
 
-    A plain ordinal is cut every ``rows``; a file ordinal (``part``, ``seq``) within its part.
+    A whole-number ordinal is cut every ``rows``; a file ordinal (``part``, ``seq``) within
+    its part.
     """
-    if isinstance(df.schema[order].dataType, T.StructType):
+    def start(c: Column) -> Column:
+        return c - F.pmod(c, F.lit(rows))
+
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.StructType):
         o = col(order)
-        return F.struct(o["part"].alias("part"), F.floor(o["seq"] / rows).alias("block"))
-    return F.floor(col(order) / rows)
+        return F.struct(o["part"].alias("part"), start(o["seq"]).alias("start"))
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{order} is no row ordinal: {kind.simpleString()}")
+    return start(col(order))
 
 
 def forward_fill(

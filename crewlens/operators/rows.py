@@ -1,6 +1,8 @@
 """Row selection: snapshots, slices, year filters, look-ups, one row per key."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -8,6 +10,11 @@ from pyspark.sql import functions as F
 from crewlens.functions.parsing import col, icontains
 
 
+def drop_missing(df: DataFrame, *names: str) -> DataFrame:
+    """Rows where all the columns are known, as plain null tests that can be pushed down."""
+    return df.where(reduce(and_, [col(n).isNotNull() for n in names]))
+
+
 def latest_snapshot(df: DataFrame, period: str, grain: str | None = None) -> DataFrame:
     """Rows of the last period, or of the calendar unit (``grain``) the last period falls in.
 

@@ -60,18 +60,18 @@ def corr_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def ols_by(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
-    """Least-squares line of y on x per group."""
+    """Least-squares line of y on x per group, in group order."""
     cx, cy = col(x), col(y)
     return df.groupBy(col(group)).agg(
         A.slope(cx, cy).alias("slope"),
         A.intercept(cx, cy).alias("intercept"),
         A.r_squared(cx, cy).alias("r2"),
         A.pair_count(cx, cy).alias("n"),
-    )
+    ).orderBy(col(group))
 
 
 def histogram_by(df: DataFrame, x: str, group: str, bins: int) -> DataFrame:
-    """Counts per equal-width bin and group; the upper end belongs to the last bin."""
+    """Counts per equal-width bin and group, in bin order; the upper end belongs to the last bin."""
     known = df.where(col(x).isNotNull())
     ends = known.agg(F.struct(F.min(col(x)).alias("low"), F.max(col(x)).alias("high")).alias("ends"))
     placed = known.select(col(group), col(x), ends.scalar().alias("_ends"))
@@ -88,4 +88,4 @@ def histogram_by(df: DataFrame, x: str, group: str, bins: int) -> DataFrame:
         (F.col("_low") + F.col("bin") * F.col("_width")).alias("bin_end"),
         col(group),
         "n",
-    )
+    ).orderBy("bin", col(group))

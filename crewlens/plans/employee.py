@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from crewlens import vocabulary as V
 from crewlens.functions import aggregates as A
-from crewlens.functions.parsing import col, icontains, norm_eq, num_of, ts_of
+from crewlens.functions.parsing import col, date_of, icontains, norm_eq, num_of, ts_of
 from crewlens.functions.scalars import band, clip, pct, ratio, round_half_even, tenure_years, two_way
 from crewlens.operators import stats
 from crewlens.operators.columns import column_or, first_existing, select_existing, standardize_id
@@ -43,7 +43,7 @@ def employee_master(df: DataFrame, order: str = ROW, drop_null_period: bool = Fa
     keyed = standardize_id(df, V.ID_PRIMARY, KEY).where(col(KEY).isNotNull())
     if V.PERIOD not in keyed.columns:
         return keyed.drop(order)
-    dated = keyed.withColumn(V.PERIOD, ts_of(keyed, V.PERIOD).cast("date"))
+    dated = keyed.withColumn(V.PERIOD, date_of(keyed, V.PERIOD))
     return latest_per_key(dated, [KEY], V.PERIOD, order, drop_null_period).drop(order)
 
 
@@ -140,7 +140,7 @@ def employee_indicators(
         "Dept_Median_Training": hours,
         "Dept_No_Training_Baseline": F.when(hours == 0, score),
     }
-    based = with_group_medians(dated, department, medians, approx, stage)
+    based = with_group_medians(dated, department, medians, [KEY], approx, stage)
     risky = (F.col("Tenure_Years") > risk_tenure) & (F.col("Total_Absence_Days") > risk_absence)
     index = ratio(hours, F.col("Dept_Median_Training") + 1)
     return based.withColumns({

@@ -13,7 +13,7 @@ from crewlens.functions.scalars import band, pct, ratio, round_half_even
 from crewlens.operators.grouping import group_complete, group_nonnull, totals_with_mode
 from crewlens.operators.joins import full_outer
 from crewlens.operators.reshape import stack_rows
-from crewlens.operators.rows import in_year, latest_snapshot, lookup_or
+from crewlens.operators.rows import drop_missing, in_year, latest_snapshot, lookup_or
 
 
 def _capacity(female: str) -> list[Column]:
@@ -130,7 +130,7 @@ def training_perf_summary(
         group_nonnull(training.where(F.col("status") == done), "employee_id")
         .agg(A.sum0(F.col("hours")).alias("training_hours"))
     )
-    scored = reviews.select("employee_id", "performance_score").na.drop(subset=["performance_score"])
+    scored = drop_missing(reviews, "performance_score").select("employee_id", "performance_score")
     joined = scored.join(hours, "employee_id", "left").na.fill(0.0, ["training_hours"])
     banded = joined.withColumn("training_band", band(F.col("training_hours"), edges, labels))
     return group_complete(

@@ -6,38 +6,39 @@ from pyspark.sql import functions as F
 
 from crewlens import vocabulary as V
 from crewlens.functions import aggregates as A
-from crewlens.functions.parsing import col, dayfirst_of, istartswith, norm_eq, num_of, ts_of
+from crewlens.functions.parsing import col, date_of, dayfirst_of, istartswith, norm_eq, num_of
 from crewlens.functions.scalars import count_across, nullif0, ratio
 from crewlens.operators.columns import clean_header, column_or, select_positions
 from crewlens.operators.joins import join_on
 from crewlens.operators.ordered import forward_fill
 from crewlens.operators.reshape import melt, metric_columns
-from crewlens.operators.rows import labelled_rows, review_documents
+from crewlens.operators.rows import drop_missing, labelled_rows, review_documents
 from crewlens.sources.readers import ROW
 
 
 def workforce(df: DataFrame) -> DataFrame:
     """Monthly snapshots; rows without an id or a readable period are dropped."""
-    return df.select(
+    typed = df.select(
         F.coalesce(col(V.ID_PRIMARY), column_or(df, V.ID_BACKUP)).alias("employee_id"),
-        ts_of(df, V.PERIOD).cast("date").alias("PERIOD"),
+        date_of(df, V.PERIOD).alias("PERIOD"),
         col(V.COUNTRY_LABEL).alias("country"),
         col(V.GENDER_LABEL).alias("gender"),
         col(V.CONTRACT_LABEL).alias("contract"),
         col(V.ENTITY_LABEL).alias("entity"),
         col(V.AGE_RANGE).alias("age_range"),
-    ).na.drop(subset=["employee_id", "PERIOD"])
+    )
+    return drop_missing(typed, "employee_id", "PERIOD")
 
 
 def performance_2023(df: DataFrame, order: str = ROW) -> DataFrame:
     """Review scores; the country stands only in the first row of each block."""
     filled = forward_fill(df, V.REVIEW_COUNTRY_2023, order, "country")
-    return filled.select(
+    return drop_missing(filled, V.REVIEW_ID).select(
         col(V.REVIEW_ID).alias("employee_id"),
         "country",
         F.lit(2023).alias("year"),
         num_of(df, V.REVIEW_SCORE_2023).alias("performance_score"),
-    ).na.drop(subset=["employee_id"])
+    )
 
 
 def performance_2024(df: DataFrame, order: str = ROW) -> DataFrame:
@@ -67,14 +68,15 @@ def performance_2024(df: DataFrame, order: str = ROW) -> DataFrame:
 
 def absenteeism(df: DataFrame) -> DataFrame:
     """Absence events; rows without an id or a readable date are dropped."""
-    return df.select(
+    typed = df.select(
         col(V.EMPLOYEE_CODE).alias("employee_id"),
-        ts_of(df, V.ABSENCE_DATE).cast("date").alias("absence_date"),
+        date_of(df, V.ABSENCE_DATE).alias("absence_date"),
         F.coalesce(num_of(df, V.WORKED_DAYS), F.lit(0.0)).alias("working_days"),
         F.coalesce(col(V.ABSENCE_GROUP), F.lit(V.UNKNOWN)).alias("absence_group"),
         col(V.COMPANY).alias("entity"),
         col(V.GENDER).alias("gender"),
-    ).na.drop(subset=["employee_id", "absence_date"])
+    )
+    return drop_missing(typed, "employee_id", "absence_date")
 
 
 def training_records(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from crewlens.operators import stats
+from crewlens.operators.rows import drop_missing
 from crewlens.plans import employee, feeds, kpis, prepare
 from crewlens.session import materialise
 from crewlens.sources.readers import load_sources, read_csv
@@ -42,8 +43,8 @@ def kpi_tables(sources: Mapping[str, DataFrame], share: bool = False) -> dict[st
         "finance": finance,
         "training_perf_summary": kpis.training_perf_summary(reviews, training),
         "performance_2023": prepare.performance_2023(sources["performance_2023"]),
-        "performance_2024": reviews.select("employee_id", "country", "performance_score").na.drop(
-            subset=["performance_score"]
+        "performance_2024": drop_missing(reviews, "performance_score").select(
+            "employee_id", "country", "performance_score"
         ),
     }
 

@@ -95,7 +95,7 @@ select o_orderkey, flag from (select o_orderkey, o_custkey, nullif(o_orderstatus
 where flag is not null""")
 def drop_missing(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("flag")
-    return table(spark, sf, "orders").select("o_orderkey", flag).na.drop(subset=["flag"])
+    return rows.drop_missing(table(spark, sf, "orders").select("o_orderkey", flag), "flag")
 
 
 @query("latest_per_key", """
@@ -195,7 +195,7 @@ from {PLACED} join base using (n_name)""")
 def group_baseline(spark: SparkSession, sf: str) -> DataFrame:
     price = F.col("o_totalprice")
     wanted = {"mid": price, "base": F.when(F.col("o_orderstatus") == "F", price)}
-    based = joins.with_group_medians(sheets.orders_of_customers(spark, sf), "n_name", wanted)
+    based = joins.with_group_medians(sheets.orders_of_customers(spark, sf), "n_name", wanted, ["o_orderkey"])
     index = S.clip(S.ratio(price, F.col("mid") + 1), *V.INDEX_RANGE)
     return based.select("o_orderkey", "mid", (price - F.col("base")).alias("delta"), index.alias("idx"))
 
@@ -266,7 +266,7 @@ select l_returnflag, round(median(l_extendedprice), 4) price, median(l_quantity)
 from lineitem group by 1""")
 def group_median(spark: SparkSession, sf: str) -> DataFrame:
     values = {"price": F.col("l_extendedprice"), "quantity": F.col("l_quantity"), "discount": F.col("l_discount")}
-    return grouping.medians(table(spark, sf, "lineitem"), "l_returnflag", values)
+    return grouping.medians(table(spark, sf, "lineitem"), "l_returnflag", values, ["l_orderkey", "l_partkey"])
 
 
 @query("group_by_derived_year", """
