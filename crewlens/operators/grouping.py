@@ -38,16 +38,16 @@ def group_complete(
     """Aggregate by a banded column so that every label has a row, in label order.
 
     Labels without rows get zero for the columns in ``zero`` and NULL otherwise. Rows outside
-    all bands form a last row only if ``keep_null`` is set and there are any. The aggregate
-    has one row per label (``key`` holds no other value), which bounds the broadcast.
+    all bands form a last row only if ``keep_null`` is set and there are any. The input is
+    read once. The aggregate has one row per label at most (``key`` holds no other value),
+    which bounds the broadcast.
     """
-    named = [c.alias(n) for n, c in aggregates.items()]
-    known = group_nonnull(df, key).agg(*named)
-    out = label_dimension(df, key, labels).join(F.broadcast(known), key, "left").na.fill(0, list(zero))
-    if keep_null:
-        rest = df.where(col(key).isNull()).groupBy(col(key)).agg(*named)
-        out = out.unionByName(rest.withColumn("_ord", F.lit(len(labels))))
-    return out.orderBy("_ord").select(key, *aggregates)
+    groups = df.groupBy(col(key)) if keep_null else group_nonnull(df, key)
+    found = groups.agg(*[c.alias(n) for n, c in aggregates.items()])
+    labelled = label_dimension(df, key, labels)
+    out = labelled.join(found, key, "full_outer") if keep_null else labelled.join(F.broadcast(found), key, "left")
+    last = F.coalesce(F.col("_ord"), F.lit(len(labels)))
+    return out.na.fill(0, list(zero)).orderBy(last).select(key, *aggregates)
 
 
 def totals_with_mode(

@@ -111,46 +111,57 @@ def entry_date(df: DataFrame) -> str | None:
     return next((c for c in df.columns if c.startswith(V.ENTRY_DATE_PREFIX)), None)
 
 
-def employee_indicators(
+def tenure_and_risk(
     df: DataFrame,
-    department: str | None = None,
     entered: str | None = None,
     reference: str = V.REFERENCE_DATE,
     risk_tenure: float = V.RISK_TENURE_YEARS,
     risk_absence: float = V.RISK_ABSENCE_DAYS,
+) -> DataFrame:
+    """The employee table with tenure in years and the risk flag."""
+    entered = entered or entry_date(df)
+    if entered:
+        dated = df.withColumn(entered, ts_of(df, entered))
+        dated = dated.withColumn("Tenure_Years", tenure_years(col(entered), reference, V.DAYS_PER_YEAR))
+    else:
+        dated = df.withColumn("Tenure_Years", F.lit(None).cast("double"))
+    risky = (F.col("Tenure_Years") > risk_tenure) & (F.col("Total_Absence_Days") > risk_absence)
+    return dated.withColumn("Org_Fragility_Risk", two_way(risky, *V.RISK_LABELS))
+
+
+def training_measures(
+    df: DataFrame,
+    department: str | None = None,
     edges: Sequence[float] = V.BAND_EDGES_SEGMENT,
     labels: Sequence[str] = V.BAND_LABELS,
     approx: bool = False,
     stage: bool = False,
 ) -> DataFrame:
-    """The employee table with tenure, risk flag, training index, band and delta to baseline.
+    """The employee table with training index and band, and the score against the baseline.
 
     Both department medians (training hours of all, score of those without training) come
     from one aggregation and are joined back once.
     """
     department = department or department_column(df)
-    entered = entered or entry_date(df)
     hours, score = F.col("Total_Training_Hours"), F.col("Performance_Score_Numeric")
-    if entered:
-        dated = df.withColumn(entered, ts_of(df, entered))
-        dated = dated.withColumn("Tenure_Years", tenure_years(col(entered), reference, V.DAYS_PER_YEAR))
-    else:
-        dated = df.withColumn("Tenure_Years", F.lit(None).cast("double"))
     medians: Mapping[str, Column] = {
         "Dept_Median_Training": hours,
         "Dept_No_Training_Baseline": F.when(hours == 0, score),
     }
-    based = with_group_medians(dated, department, medians, [KEY], approx, stage)
-    risky = (F.col("Tenure_Years") > risk_tenure) & (F.col("Total_Absence_Days") > risk_absence)
+    based = with_group_medians(df, department, medians, [KEY], approx, stage)
     index = ratio(hours, F.col("Dept_Median_Training") + 1)
     return based.withColumns({
-        "Org_Fragility_Risk": two_way(risky, *V.RISK_LABELS),
         "Absorptive_Capacity_Index": clip(index, *V.INDEX_RANGE),
         "Training_Intensity_Band": band(hours, edges, labels),
         "Training_Performance_Delta": score - F.col("Dept_No_Training_Baseline"),
     })
 
 
+def employee_indicators(df: DataFrame, department: str | None = None, stage: bool = False) -> DataFrame:
+    """The employee table with all indicators, at the default thresholds and bands."""
+    return training_measures(tenure_and_risk(df), department, stage=stage)
+
+
 def indicator_view(df: DataFrame, department: str | None = None) -> DataFrame:
     """The key indicators per employee."""
     return select_existing(df, [KEY, department or department_column(df), *INDICATORS])

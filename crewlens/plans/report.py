@@ -71,16 +71,31 @@ def employee_tables(integrated: DataFrame, indicators: DataFrame) -> dict[str, D
     }
 
 
+def saved_tables(spark: SparkSession, folder: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Written report-size tables read back with the schema they were written with."""
+    small = {n: t for n, t in tables.items() if n not in EMPLOYEE_GRAIN}
+    return {n: read_csv(spark, f"{folder}/{n}", t.schema) for n, t in small.items()}
+
+
+def heads(tables: Mapping[str, DataFrame], rows: int = 10) -> dict[str, DataFrame]:
+    """The first rows of every table, for display."""
+    return {n: t.limit(rows) for n, t in tables.items()}
+
+
 def run(spark: SparkSession, root: str, out: str, fmt: str = "csv") -> dict[str, DataFrame]:
     """Read the sheets under ``root`` and write all results under ``out``.
 
-    The employee table and its indicators are written to the shared folder before their
-    several readers start. Chart feeds and text facts are made from the written KPI tables.
+    Text sheets have several readers each, so they are first copied to columnar form in the
+    shared folder: the text is parsed once and every reader prunes columns. The employee table
+    and its indicators are written there too before their readers start. Chart feeds and text
+    facts are made from the written KPI tables.
     """
     sources = load_sources(spark, root, fmt)
+    if fmt == "csv":
+        sources = {n: materialise(t, n) for n, t in sources.items()}
     tables = kpi_tables(sources, share=True)
     save_tables(tables, f"{out}/tables", wide=EMPLOYEE_GRAIN)
-    saved = {n: read_csv(spark, f"{out}/tables/{n}", t.schema) for n, t in tables.items() if n not in EMPLOYEE_GRAIN}
+    saved = saved_tables(spark, f"{out}/tables", tables)
 
     integrated = materialise(employee_table(sources), "employee")
     indicators = materialise(employee.employee_indicators(integrated, stage=True), "indicators")

@@ -356,8 +356,12 @@ def _employees(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _at_risk(spark: SparkSession, sf: str) -> DataFrame:
+    return employee.tenure_and_risk(_employees(spark, sf), risk_tenure=28)
+
+
 def _indicators(spark: SparkSession, sf: str) -> DataFrame:
-    return employee.employee_indicators(_employees(spark, sf), risk_tenure=28, edges=SEGMENT_EDGES)
+    return employee.training_measures(_at_risk(spark, sf), edges=SEGMENT_EDGES)
 
 
 @query("integrated_employee", f"""
@@ -455,7 +459,7 @@ select "Org_Fragility_Risk", round(regr_slope(y, x), 4) slope, round(regr_interc
        round(regr_r2(y, x), 4) r2, cast(regr_count(y, x) as bigint) n
 from (select "Org_Fragility_Risk", "Total_Training_Hours" x, "Total_Absence_Days" y from indicators) group by 1""")
 def trend_by_group(spark: SparkSession, sf: str) -> DataFrame:
-    return employee.trend_by_risk(_indicators(spark, sf))
+    return employee.trend_by_risk(_at_risk(spark, sf))
 
 
 @query("tenure_histogram", f"""
@@ -468,7 +472,7 @@ select bin, round(lo + (bin - 1) * (hi - lo) / 30, 4) bin_start, round(lo + bin
        n_name "ENTITY_LABEL_LOCAL", count(*) n
 from placed group by all""")
 def tenure_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return employee.tenure_histogram(_indicators(spark, sf))
+    return employee.tenure_histogram(_at_risk(spark, sf))
 
 
 
@@ -477,4 +481,4 @@ def tenure_histogram(spark: SparkSession, sf: str) -> DataFrame:
     f"""select '{a}' x, '{b}' y, round(corr("{a}", "{b}"), 4) r from indicators"""
     for a in employee.NUMERIC for b in employee.NUMERIC) + ")")
 def correlation_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return employee.correlation(_indicators(spark, sf))
+    return employee.correlation(_at_risk(spark, sf))

@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from crewlens import vocabulary as V
-from crewlens.operators import columns, grouping, joins, ordered, reshape, rows, stats
+from crewlens.operators import columns, grouping, joins, lookup, ordered, reshape, rows, stats
+from crewlens.session import shared_folder
 from tests.conftest import plan_of, values
 
 FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -198,6 +199,48 @@ def test_group_medians_are_attached_to_every_row(make, stage):
     ]
 
 
+def test_hot_group_is_spread_before_its_aggregate(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).selectExpr("id", "case when id % 9 < 8 then 'hot' else 'g' end g", "cast(id as double) x")
+        plan = plan_of(grouping.medians(df, "g", {"m": F.col("x")}, ["id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan.index("SortMergeJoin")
+    assert "_salt" in plan[join:join + 80]
+    # the median itself is combined per task before the shuffle by group
+    assert plan.index("percentile(") < plan.index("Exchange hashpartitioning(g") < plan.index("partial_percentile(") < join
+
+
+def test_salt_is_repeatable_and_even(spark):
+    df = spark.range(16000).selectExpr("id", "1 as same")
+    one, two = (df.select(lookup.salt_of(df, ["id"]).alias("s")).groupBy("s").count().orderBy("s").collect() for _ in range(2))
+    assert one == two and len(one) == lookup.SALTS
+    assert max(r["count"] for r in one) < 1200
+
+
+def test_many_group_facts_are_not_broadcast(spark, make, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 2)
+    df = make("g string, x int", [("a", 1), ("b", 2), ("c", 3), (None, 4)])
+    facts = make("g string, f int", [("a", 10), ("b", 20), ("c", 30)])
+    out = lookup.join_group_facts(df, facts, "g", stage=True)
+    assert "_salt" in plan_of(out)
+    assert values(out.select("g", "x", "f"), "x") == [("a", 1, 10), ("b", 2, 20), ("c", 3, 30), (None, 4, None)]
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 3)
+    assert "BroadcastHashJoin" in plan_of(lookup.join_group_facts(df, facts, "g", stage=True))
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError):
+        shared_folder(Cluster)
+    named = type("Named", (Cluster,), {"conf": type("Conf", (), {"get": staticmethod(lambda key, default: "file:/shared/tables")})})
+    assert shared_folder(named) == "file:/shared/tables"
+
+
 # --- row order -----------------------------------------------------------------------------
 
 def filled_by_hand(data):
@@ -231,6 +274,14 @@ def test_forward_fill_of_a_file_ordinal(make):
     assert [r.f for r in out.orderBy("_row").collect()] == ["a", "a", "a", "b", "b"]
 
 
+def test_row_blocks_need_an_ordinal(make):
+    with pytest.raises(TypeError):
+        ordered.row_block(make("d double", [(1.0,)]), "d")
+    big = (1 << 60) + 5
+    df = make("i long", [(big,), (-1,)])
+    assert values(df.select(ordered.row_block(df, "i", 4))) == [(big - 1,), (-4,)]
+
+
 def test_forward_fill_sends_only_block_ends_to_one_task(spark):
     df = spark.range(100).selectExpr("id", "nullif(id % 5, 1) v")
     plan = plan_of(ordered.forward_fill(df, "v", "id", "f"))

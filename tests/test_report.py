@@ -51,10 +51,12 @@ def approx(rows):
     return [tuple(pytest.approx(v) if isinstance(v, float) else v for v in r) for r in rows]
 
 
-def test_headcount(tables, sql):
+def test_headcount(tables, sql, sources):
     want = sql("""select p, count(distinct id), avg(case when gender = 'Female' then 1.0 else 0 end)
                   from staff group by 1 order by 1""")
     assert len(want) == 24 and values(tables["monthly_headcount"]) == approx(want)
+    near = kpis.monthly_headcount(prepare.workforce(sources["workforce"]), approx=True).collect()
+    assert all(abs(r.headcount - w[1]) <= 3 for r, w in zip(near, want))
     want = sql("""select country, count(distinct id), avg(case when gender = 'Female' then 1.0 else 0 end) from staff
                   where p = (select max(p) from staff) and country is not null group by 1 order by 2 desc, 1""")
     assert values(tables["headcount_by_country"]) == approx(want)
@@ -175,6 +177,8 @@ def test_run_writes_everything(spark, folder, tmp_path):
     assert V.WORKING_UNIT in wide.columns and wide.count() == spark.read.parquet(f"{out}/employee/parquet").count()
     bands = done["training_band_summary"].collect()
     assert [b[0] for b in bands] == list(V.BAND_LABELS) and sum(b[1] for b in bands) == wide.count()
+    shown = report.heads(report.saved_tables(spark, f"{out}/tables", {n: done[n] for n in ("monthly_headcount", "finance")}))
+    assert {n: t.count() for n, t in shown.items()} == {"monthly_headcount": 10, "finance": 4}
     back = readers.read_csv(spark, f"{out}/tables/monthly_headcount", done["monthly_headcount"].schema)
     assert values(back) == values(done["monthly_headcount"])
     writers.save_employee_table(done["employee_indicators"], f"{out}/split", V.ENTITY_LABEL)
