@@ -1,7 +1,7 @@
 """Scans. One file or folder per sheet, CSV or parquet, always lazy after the header."""
 
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,16 +104,21 @@ SHEETS: Mapping[str, tuple[bool, bool]] = {
 
 
 def load_sources(
-    spark: SparkSession, root: str, fmt: str = "csv", sep: str = ",", views: bool = False
+    spark: SparkSession,
+    root: str,
+    fmt: str = "csv",
+    sep: str = ",",
+    names: Iterable[str] = tuple(SHEETS),
+    views: bool = False,
 ) -> dict[str, DataFrame]:
-    """All sheets under ``root`` (``<root>/<sheet>.<fmt>``) as a catalog of lazy tables.
+    """The named sheets under ``root`` (``<root>/<sheet>.<fmt>``) as a catalog of lazy tables.
 
     ``views`` also registers them as temporary views under the same names.
     """
-    tables = {
-        name: read_table(spark, f"{root}/{name}.{fmt}", ordinal=ordered, fmt=fmt, sep=sep, clean=clean)
-        for name, (ordered, clean) in SHEETS.items()
-    }
+    tables = {}
+    for name in names:
+        ordered, clean = SHEETS[name]
+        tables[name] = read_table(spark, f"{root}/{name}.{fmt}", ordinal=ordered, fmt=fmt, sep=sep, clean=clean)
     if views:
         for name, table in tables.items():
             table.createOrReplaceTempView(name)

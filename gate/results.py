@@ -7,6 +7,7 @@ from crewlens import vocabulary as V
 from crewlens.functions import scalars as S
 from crewlens.operators import grouping, joins, rows, stats
 from crewlens.plans import employee, kpis, prepare
+from crewlens.session import materialise
 from crewlens.sources.writers import kpi_lines
 from gate import sheets
 from gate.registry import query
@@ -361,7 +362,9 @@ def _at_risk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _indicators(spark: SparkSession, sf: str) -> DataFrame:
-    return employee.training_measures(_at_risk(spark, sf), edges=SEGMENT_EDGES)
+    # The medians read the employee table three times: it is written once, as in the report.
+    table = materialise(_at_risk(spark, sf), "employee")
+    return employee.training_measures(table, edges=SEGMENT_EDGES)
 
 
 @query("integrated_employee", f"""

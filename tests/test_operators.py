@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from crewlens import vocabulary as V
+from crewlens.functions.scalars import band
 from crewlens.operators import columns, grouping, joins, lookup, ordered, reshape, rows, stats
 from crewlens.session import shared_folder
 from tests.conftest import plan_of, values
@@ -241,6 +242,30 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     assert shared_folder(named) == "file:/shared/tables"
 
 
+@FEW
+@given(st.lists(st.floats(-5, 50), min_size=1, max_size=30))
+def test_bands_cover_every_value_once(make, xs):
+    df = make("x double", [(x,) for x in xs])
+    banded = df.withColumn("b", band(F.col("x"), V.BAND_EDGES_KPI, V.BAND_LABELS))
+    got = {r.b: r.n for r in grouping.group_complete(banded, "b", V.BAND_LABELS, {"n": F.count("*")}, ["n"], True).collect()}
+    assert sum(got.values()) == len(xs) and got.get(None, 0) == sum(x <= -0.1 for x in xs)
+    assert got["0.1-7h"] == sum(0.1 < x <= 7 for x in xs) and got["20h+"] == sum(x > 20 for x in xs)
+
+
+@FEW
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(0, 3))), min_size=1, max_size=30))
+def test_one_row_per_key_is_the_first_in_order(make, cells):
+    data = [(k, v, i) for i, (k, v) in enumerate(cells)]
+    df = make("k string, v int, r long", data)
+    got = dict((k, r) for k, _, r in values(rows.best_per_key(df, ["k"], ["v"], "r")))
+    want = {}
+    for k, v, r in sorted(data, key=lambda d: (d[1] is None, -(d[1] or 0), d[2])):
+        want.setdefault(k, r)
+    assert got == want
+    master = df.select("k").distinct()
+    assert joins.enrich(master, [rows.best_per_key(df, ["k"], ["v"], "r")], "k").count() == len(want)
+
+
 # --- row order -----------------------------------------------------------------------------
 
 def filled_by_hand(data):

@@ -185,6 +185,29 @@ def test_run_writes_everything(spark, folder, tmp_path):
     assert spark.read.parquet(f"{out}/split/parquet").count() == wide.count()
 
 
+def test_parquet_sheets_give_the_same_results(spark, sources, tables, tmp_path):
+    for name, table in sources.items():
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    again = report.kpi_tables(readers.load_sources(spark, str(tmp_path), fmt="parquet"))
+    for name in ("kpi_summary", "monthly_headcount", "review_metrics", "performance_2023", "finance", "cold_impact"):
+        first = tables[name].columns[0]
+        assert values(again[name], first) == approx(values(tables[name], first)), name
+    some = readers.load_sources(spark, str(tmp_path), fmt="parquet", names=["workforce"])
+    assert list(some) == ["workforce"]
+
+
+def test_period_filter_reaches_a_typed_workforce_scan(spark, make, tmp_path):
+    rows = [(f"e{i}", None, f"2024-{1 + i % 12:02d}-01", "F", "Female", "P", "x", "30") for i in range(24)]
+    names = [V.ID_PRIMARY, V.ID_BACKUP, V.PERIOD, V.COUNTRY_LABEL, V.GENDER_LABEL, V.CONTRACT_LABEL, V.ENTITY_LABEL, V.AGE_RANGE]
+    df = make(", ".join(f"`{n}` string" for n in names), rows)
+    df.withColumn(V.PERIOD, df[V.PERIOD].cast("date")).write.parquet(str(tmp_path / "w"))
+    sheet = readers.read_table(spark, str(tmp_path / "w"))
+    out = kpis.headcount_by_country(prepare.workforce(sheet))
+    assert values(out) == [("F", 2, 1.0)]
+    plan = out._jdf.queryExecution().toString()
+    assert "EqualTo(PERIOD,ScalarSubquery" in plan and V.AGE_RANGE not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
 def test_indicators_on_literal_rows(make):
     df = make(f"Employee_ID string, {V.ENTITY_LABEL} string, {V.ENTRY_DATE_PREFIX}_X string, Total_Training_Hours double, Total_Absence_Days double, Review_Completed_Flag int, Performance_Score_Numeric double", [
         ("a", "P", "2010-12-31", 0.0, 20.0, 1, 3.0), ("b", "P", "2024-12-31", 8.0, 20.0, 0, 4.0),
