@@ -42,8 +42,12 @@ def pct(c: Column) -> Column:
 
 
 def round_half_even(c: Column, digits: int) -> Column:
-    """Round to ``digits`` places, ties to the even neighbour."""
-    return F.bround(c, digits)
+    """Round to ``digits`` places, ties to the even neighbour.
+
+    Eight places further the value is rounded first: a sum of doubles depends on the order of
+    addition in its last bits, and that must not decide on which side of a tie it falls.
+    """
+    return F.bround(F.round(c, digits + 8), digits)
 
 
 def days_between(later: Column, earlier: Column) -> Column:

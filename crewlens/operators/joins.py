@@ -4,7 +4,6 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from crewlens.functions.parsing import col
 from crewlens.operators.grouping import medians

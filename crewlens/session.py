@@ -20,15 +20,39 @@ DEFAULTS = {
 }
 
 
-def session(app: str = "crewlens", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the defaults above; keyword dots are written as double underscores."""
+MB = 1 << 20
+
+
+def sizing(scan_bytes: int, cores: int) -> dict[str, str]:
+    """Split and shuffle settings for an input size and a number of executor cores.
+
+    Scan tasks: about forty per core, between 128 MB and 1 GB each, so that a large input does
+    not turn into a million tasks. Shuffles: pruning and partial aggregation leave at most
+    about a tenth of the input, cut to 256 MB, at least one partition per core; the runtime
+    merges partitions that turn out small.
+    """
+    split = min(max(scan_bytes // (cores * 40), 128 * MB), 1024 * MB)
+    partitions = min(max(scan_bytes // 10 // (256 * MB), cores), 40_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+
+
+def session(
+    app: str = "crewlens", master: str | None = None, scan_bytes: int = 0, cores: int = 0, **settings: str
+) -> SparkSession:
+    """A session with the defaults above; keyword dots are written as double underscores.
+
+    ``scan_bytes`` and ``cores`` together add the settings of ``sizing``.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in DEFAULTS.items():
+    named = {key.replace("__", "."): value for key, value in settings.items()}
+    sized = sizing(scan_bytes, cores) if scan_bytes and cores else {}
+    for key, value in {**DEFAULTS, **sized, **named}.items():
         builder = builder.config(key, value)
-    for key, value in settings.items():
-        builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 

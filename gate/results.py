@@ -13,8 +13,8 @@ from gate import sheets
 from gate.registry import query
 from gate.sheets import table
 
-SPEND_EDGES = (-0.1, 0.1, 2000.0, 3000.0, float("inf"))
-SEGMENT_EDGES = (-0.01, 0.0, 6500.0, 7000.0, float("inf"))
+SPEND_EDGES = (-0.1, 0.1, 400.0, 700.0, float("inf"))
+SEGMENT_EDGES = (-0.01, 0.0, 3000.0, 3500.0, float("inf"))
 
 
 # --- SQL building blocks -------------------------------------------------------------------

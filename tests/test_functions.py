@@ -89,6 +89,11 @@ def test_rounding_takes_ties_to_even(make):
     assert one(make, "x double", [0.125, 0.135, 2.675, -0.125], S.round_half_even(F.col("x"), 2)) == [0.12, 0.14, 2.68, -0.12]
 
 
+def test_rounding_ignores_the_order_of_addition(make):
+    cells = [3243.185, 3243.1850000000004, 3243.1849999999995]
+    assert set(one(make, "x double", cells, S.round_half_even(F.col("x"), 2))) == {3243.18}
+
+
 def test_days_are_floored(make):
     # 08:00 to midnight ten days later is nine whole days; two days and eight hours ahead is minus three
     later, earlier = F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz")

@@ -4,8 +4,10 @@ import duckdb
 import pytest
 
 from crewlens import vocabulary as V
+from crewlens.__main__ import main as command_line
 from crewlens.operators.columns import clean_columns
 from crewlens.plans import employee, feeds, kpis, prepare, report
+from crewlens.session import MB, sizing
 from crewlens.sources import readers, writers
 from tests.conftest import values
 from tests.dirty import generate
@@ -185,6 +187,17 @@ def test_run_writes_everything(spark, folder, tmp_path):
     assert spark.read.parquet(f"{out}/split/parquet").count() == wide.count()
 
 
+def test_command_line(spark, folder, tmp_path):
+    command_line([str(folder), str(tmp_path / "out")])
+    assert (tmp_path / "out" / "headline" / "_SUCCESS").exists()
+
+
+def test_sizing():
+    small, large = sizing(10**9, 8), sizing(100 * 10**12, 4000)
+    assert small == {"spark.sql.files.maxPartitionBytes": str(128 * MB), "spark.sql.shuffle.partitions": "8"}
+    assert large == {"spark.sql.files.maxPartitionBytes": "625000000", "spark.sql.shuffle.partitions": "37252"}
+
+
 def test_parquet_sheets_give_the_same_results(spark, sources, tables, tmp_path):
     for name, table in sources.items():
         table.write.parquet(str(tmp_path / f"{name}.parquet"))
