@@ -17,6 +17,9 @@ SPEND_EDGES = (-0.1, 0.1, 400.0, 700.0, float("inf"))
 SEGMENT_EDGES = (-0.01, 0.0, 3000.0, 3500.0, float("inf"))
 
 
+# Hours and money have two decimals and are summed as decimals, so that the SQL is exact and
+# the order of addition cannot decide how a value is rounded.
+
 # --- SQL building blocks -------------------------------------------------------------------
 
 CUSTOMERS = "orders join customer on o_custkey = c_custkey"
@@ -112,7 +115,7 @@ EMPLOYEES = f"""
     select cast(l_partkey as varchar) "Employee_ID", sum(l_quantity) as days, count(l_quantity) as events
     from lineitem group by 1),
   trained as (
-    select cast(user_id as varchar) "Employee_ID", sum(value) as hours, count(distinct json_extract_string(props, '$.k')) sessions,
+    select cast(user_id as varchar) "Employee_ID", cast(sum(cast(value as decimal(18, 2))) as double) as hours, count(distinct json_extract_string(props, '$.k')) sessions,
            count(*) filter (where event_type = 'purchase') done
     from events group by 1),
   employee as (
@@ -140,6 +143,15 @@ INDICATORS = f"""
                 when "Total_Training_Hours" <= {SEGMENT_EDGES[3]} then '7-20h' else '20h+' end band,
            "Performance_Score_Numeric" - base "Training_Performance_Delta"
     from measured)"""
+def half_even(value: str, digits: int) -> str:
+    """SQL for rounding ties to the even neighbour, spelled out: scaled, rounded, scaled back."""
+    y = f"(round({value}, {digits + 8}) * {10**digits})"
+    return f"(case when {y} - floor({y}) = 0.5 then 2 * floor(({y} + 0.5) / 2) else round({y}) end / {10**digits})"
+
+
+MEAN_HOURS = (
+    'cast(sum(cast("Total_Training_Hours" as decimal(18, 2))) as double) / nullif(count("Total_Training_Hours"), 0)'
+)
 BANDS = "(values (0, '0h'), (1, '0.1-7h'), (2, '7-20h'), (3, '20h+')) b(o, label)"
 
 
@@ -431,7 +443,7 @@ def governance_top(spark: SparkSession, sf: str) -> DataFrame:
 @query("training_bands_segment", f"""
 with {EMPLOYEES}, {INDICATORS}
 select label "Training_Intensity_Band", count(distinct "Employee_ID") "Employee_Count",
-       round_even(avg("Total_Training_Hours"), 2) "Avg_Training_Hours",
+       {half_even(MEAN_HOURS, 2)} "Avg_Training_Hours",
        round_even(avg("Performance_Score_Numeric"), 2) "Avg_Performance_Score",
        round_even(avg("Training_Performance_Delta"), 2) "Avg_Performance_Delta"
 from {BANDS} left join indicators on band = label group by 1""")
