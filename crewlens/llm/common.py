@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from crewlens.session import shared_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Stands for a null doc_id: it comes last.
+LAST = (1 << 63) - 1
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -55,3 +57,11 @@ def running_sums(df: DataFrame, order: Sequence[Column], values: Iterable[str],
     return own.join(offsets, part).select(
         *df.columns, *[(F.col(f"__in_{v}") + F.col(f"__at_{v}")).alias(f"{v}{suffix}") for v in values]
     )
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    """doc (a null doc_id comes last), tid (a hash of the text) and text (null as empty)."""
+    text = F.coalesce("text", F.lit("")).alias("text")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text).select(
+        "doc", F.xxhash64("text").alias("tid"), "text"
+    )

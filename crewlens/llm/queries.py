@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crewlens.llm import chat, mixing, quality
+from crewlens.llm import chat, jaccard, language, mixing, neighbours, ngrams, pieces, quality, repeats, urls
 from crewlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,19 +17,54 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(table(spark, folder, "documents"), "doc_id").select(
         "doc_id", *quality.MEASURES, "base_failed", "kept"
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.report(table(spark, folder, "documents"))
+
+
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(table(spark, folder, "documents"), "doc_id")
+
+
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"))
+
+
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar(table(spark, folder, "documents"))
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return ngrams.scores(table(spark, folder, "documents"))
+
+
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.rendered(table(spark, folder, "conversations"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_quality_rules": op3_quality_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
+    "op6_url_filters": op6_url_filters,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_language_id": op8_language_id,
+    "op9_lm_scores": op9_lm_scores,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
