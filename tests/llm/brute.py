@@ -1,0 +1,168 @@
+"""Plain versions of the operators, for small inputs."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    """Target per source: shares by weight, the excess over the ceiling handed on again and again."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, free, out = share * sum(sizes.values()), set(order), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if level * weight[s] > most * sizes[s]}
+        if not over:
+            return out | {s: level * weight[s] for s in free}
+        for s in over:
+            out[s] = most * sizes[s]
+            left -= out[s]
+        free -= over
+    return out
+
+
+def measures(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines."""
+    text = text or ""
+    w = words(text)
+    lines = [x for x in text.split("\n") if words(x)]
+    windows = Counter(zip(w, w[1:], w[2:], strict=False))
+    covered = {j for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for j in range(i, i + 3)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), len(lines)
+
+
+def fails(text):
+    n, chars, symbols, dup, repeat, lines = measures(text)
+    return (
+        n < 50 or 100 * repeat > 50 * n or 10 * symbols > n or 100 * dup > 30 * lines or not 2 * n <= chars <= 12 * n
+    )
+
+
+def quality(rows):
+    """Kept or not, for rows of (source, text)."""
+    failed = [fails(t) for _, t in rows]
+    n, f = Counter(), Counter()
+    for (s, _), bad in zip(rows, failed, strict=True):
+        if s is not None:
+            n[s] += 1
+            f[s] += bad
+    total = sum(n.values())
+    mean = sum(f.values()) / total if total else 0
+    spread = sum(n[s] * (f[s] / n[s]) ** 2 for s in n) / total - mean**2 if total else 0
+    strength = max(1, min(1e6, mean * (1 - mean) / spread - 1)) if spread > 0 else 1e6
+    rate = {s: (f[s] + mean * strength) / (n[s] + strength) for s in n}
+    return [not bad and not (s is not None and rate[s] > 0.5) for (s, _), bad in zip(rows, failed, strict=True)]
+
+
+def shingles(text, k=5):
+    w = words(lower(text))
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)])
+
+
+def components(rows, percent=75):
+    """Smallest id reachable, for rows of (doc_id, text) with different ids."""
+    sets = [(d, shingles(t)) for d, t in rows]
+    root = {d: d for d, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[i + 1 :]:
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                p, q = sorted((find(a), find(b)))
+                root[q] = p
+    return {d: find(d) for d, _ in sets}
+
+
+def repeats(rows, depth=100):
+    """Removed byte places per row of (doc_id, text); a null doc_id comes last."""
+    last = 1 << 63
+    first = {}
+    for d, t in rows:
+        b = (t or "").encode()
+        for i in range(len(b) - depth + 1):
+            at = (last if d is None else d, i)
+            first[b[i : i + depth]] = min(first.get(b[i : i + depth], at), at)
+    out = []
+    for d, t in rows:
+        b = (t or "").encode()
+        gone = set()
+        for i in range(len(b) - depth + 1):
+            if first[b[i : i + depth]] < (last if d is None else d, i):
+                gone.update(range(i, i + depth))
+        out.append(gone)
+    return out
+
+
+def cut(text, gone):
+    return bytes(c for i, c in enumerate((text or "").encode()) if i not in gone)
+
+
+def spans(gone):
+    return sum(i - 1 not in gone for i in gone)
+
+
+def sha(data):
+    return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+
+def fold(doc_id, n=5):
+    return zlib.crc32(str(doc_id).encode()) % n
+
+
+def lm(rows, mu):
+    """n_tokens, n_known, N, base score, score for rows of (doc_id, text)."""
+    end, start = object(), object()
+    seqs = {d: [*words(lower(t)), end] for d, t in rows}
+    one, two, ctx = Counter(), Counter(), Counter()
+    for d, s in seqs.items():
+        if fold(d) != 1:
+            one.update(s)
+            two.update(zip([start, *s], s, strict=False))
+            ctx.update([start, *s[:-1]])
+    n, v = sum(one.values()), len(one)
+    p = {}
+    for d, s in seqs.items():
+        single = [(one[w] + 0.5) / (n + 0.5 * (v + 1)) for w in s]
+        pair = [
+            (two[a, b] + mu * q) / (ctx[a] + mu) for a, b, q in zip([start, *s], s, single, strict=False)
+        ]
+        p[d] = (len(s), sum(one[w] > 0 for w in s), n, sum(map(math.log10, single)), sum(map(math.log10, pair)))
+    return p
+
+
+def maximal(turns):
+    """Conversations that are no prefix of another, with how many equal ones they stand for."""
+    logs = defaultdict(list)
+    key = lambda x: (x is not None, x)
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            logs[conv].append((key(turn), key(role), key(text)))
+    logs = {c: tuple(x[1:] for x in sorted(t)) for c, t in logs.items()}
+    inner = {t[:i] for t in logs.values() for i in range(1, len(t))}
+    out = {}
+    for c in sorted(logs):
+        t = logs[c]
+        if t not in inner:
+            same = [x for x in logs if logs[x] == t]
+            if c == min(same):
+                out[c] = (len(t), len(same))
+    return out
