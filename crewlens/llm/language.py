@@ -146,7 +146,7 @@ def predict(rows: DataFrame, keys: list[str], model: pd.DataFrame, idf: np.ndarr
     """Key columns, lang_pred, score, accepted."""
     langs = model["lang"].tolist()
     radius = model["radius"].to_numpy(float)
-    centroids = np.array(model["centroid"].tolist(), np.float32).reshape(len(langs), DIMENSIONS).T
+    centroids = np.array(model["centroid"].tolist(), np.float64).reshape(len(langs), DIMENSIONS).T
     shared = rows.sparkSession.sparkContext.broadcast((langs, radius, centroids, idf))
     chosen = rows.select(*keys, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter"), "text")
 
@@ -156,9 +156,10 @@ def predict(rows: DataFrame, keys: list[str], model: pd.DataFrame, idf: np.ndarr
             letter = batch.column("letter").to_numpy(zero_copy_only=False)
             for start, stop, v in vectors(batch.column("text"), idf):
                 ok = letter[start:stop] & bool(langs)
-                cosine = v.astype(np.float32) @ centroids if langs else np.zeros((stop - start, 1))
+                cosine = v @ centroids if langs else np.zeros((stop - start, 1))
                 best = cosine.argmax(axis=1)
-                score = np.where(ok, np.clip(cosine[np.arange(len(best)), best].astype(float), 0, 1), 0.0)
+                # The last digits depend on how many rows are multiplied at once.
+                score = np.where(ok, np.round(np.clip(cosine[np.arange(len(best)), best], 0, 1), 9), 0.0)
                 near = ok & (score >= radius[best]) if langs else ok
                 yield pa.RecordBatch.from_arrays(
                     [

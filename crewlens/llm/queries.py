@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from crewlens.llm import chat, jaccard, language, mixing, neighbours, ngrams, pieces, quality, repeats, urls
 from crewlens.llm.common import table
+from crewlens.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +39,9 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    return urls.judge(table(spark, folder, "pages"))
+    judged = urls.judge(table(spark, folder, "pages"))
+    # The scores are sums whose order is not fixed.
+    return judged.withColumns({c: F.round(c, 6) for c in ("trust", "distrust")})
 
 
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,4 +73,3 @@ QUERIES: dict[str, Query] = {
     "op10_chat_formatting": op10_chat_formatting,
 }
 
-ORACLES: dict[str, str] = {}
