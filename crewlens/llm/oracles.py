@@ -13,8 +13,8 @@ w as (select *, list_value({", ".join(f"{x}::double" for x in mixing.WEIGHTS)})[
 l as (select *, ceiling / weight lev,
              coalesce(sum(ceiling) over before, 0) cb, coalesce(sum(weight) over before, 0) wb
       from w window before as (order by ceiling / weight, source nulls last rows between unbounded preceding and 1 preceding)),
-a as (select *, (({mixing.SHARE}::double * (select sum(source_size) from s)) - cb) / ((select sum(weight) from w) - wb) at from l),
-c as (select arg_min(at, lev) common from a where at <= lev),
+a as (select *, (({mixing.SHARE}::double * (select sum(source_size) from s)) - cb) / ((select sum(weight) from w) - wb) mark from l),
+c as (select arg_min(mark, lev) common from a where mark <= lev),
 g as (select source, source_size, case when common is null then ceiling else least(ceiling, common * weight) end target from w, c),
 o as (select d.doc_id, d.source, d.size, source_size, target, target / nullif(source_size, 0) rate,
              row_number() over (partition by d.source order by d.size, d.doc_id) r,
@@ -56,7 +56,7 @@ n as (select *, coalesce(i > lag(i) over (partition by doc_id order by i) + 100,
 g as (select *, sum(fresh::int) over (partition by doc_id order by i) run from n),
 r as (select doc_id, min(i) a, max(i) + 100 b from g group by doc_id, run),
 k as (select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) x, a y from r
-      union all select doc_id, max(b), 4294967296 from r group by doc_id),
+      union all select doc_id, max(b), 2000000000 from r group by doc_id),
 left_ as (select doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' order by x) h from k join d using (doc_id) group by doc_id),
 gone as (select doc_id, sum(b - a) n, count(*) m from r group by doc_id)
 select doc_id, cast(len(d.h) // 2 as bigint) n_bytes, cast(coalesce(gone.n, 0) as bigint) n_removed,
@@ -86,8 +86,8 @@ r0 as (select distinct case verdict when 'allow' then 'trust' else 'distrust' en
 links as (select host src, unnest(regexp_extract_all(html, '{urls.LINK.replace("'", "''")}', 1)) link from u where host <> ''),
 pairs as (select src, {_HOST.format("case when starts_with(link, '//') then 'http:' || link else link end")} dst from links),
 edges as (select src, dst, count(*) n from pairs where dst <> '' and dst <> src group by all),
-both as (select 'trust' kind, src, dst, n from edges union all select 'distrust', dst, src, n from edges),
-e as (select kind, src, dst, n / sum(n) over (partition by kind, src) part from both),
+ways as (select 'trust' kind, src, dst, n from edges union all select 'distrust', dst, src, n from edges),
+e as (select kind, src, dst, n / sum(n) over (partition by kind, src) part from ways),
 {_ROUNDS},
 t as (select host, coalesce(sum(score) filter (where kind = 'trust'), 0) trust,
              coalesce(sum(score) filter (where kind = 'distrust'), 0) distrust from r{urls.ROUNDS} group by 1)
