@@ -16,6 +16,16 @@ def sum0(c: Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
+def exact_sum(c: Column) -> Column:
+    """Sum of amounts as decimals of eight places, so that the order of addition does not show."""
+    return F.sum(c.cast("decimal(28,8)")).cast("double")
+
+
+def amount0(c: Column) -> Column:
+    """``exact_sum``, zero for a group without any value."""
+    return F.coalesce(exact_sum(c), F.lit(0.0))
+
+
 def first_by(value: Column, *order: Column) -> Column:
     """First non-null value in ascending order of the ordering columns."""
     return F.min_by(value, F.when(value.isNotNull(), F.struct(*order)))
@@ -28,7 +38,7 @@ def descending(c: Column, tag: str) -> list[Column]:
 
 def sum_per_distinct(value: Column, identity: Column) -> Column:
     """Sum divided by the number of distinct identities, at least one."""
-    return ratio(F.sum(value), F.greatest(F.count_distinct(identity), F.lit(1)))
+    return ratio(exact_sum(value), F.greatest(F.count_distinct(identity), F.lit(1)))
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:

@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 BLANKS = " \t\r\n\x0b\x0c\u00a0"
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+#: Layouts tried after ISO for dates of sheets, in this order; the day comes before the month.
+DATE_FORMATS = (
+    "d/M/yyyy", "d/M/yyyy H:m:s", "d/M/yyyy H:m", "d-M-yyyy", "d.M.yyyy", "yyyy/M/d", "yyyy-M-d", "yyyy-M-d H:m",
+)
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d/M/yyyy H:m", "d/M/yyyy H:m:s", "yyyy-M-d", "yyyy-M-d H:m:s")
 
 
@@ -30,9 +34,11 @@ def parse_num(c: Column) -> Column:
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 
-def parse_ts(c: Column) -> Column:
-    """ISO date or date-time text as a zone-free timestamp."""
-    return strip(c.cast("string")).try_cast("timestamp_ntz")
+def parse_ts(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Date or date-time text as a zone-free timestamp: ISO, or else the first layout that fits."""
+    text = strip(c.cast("string"))
+    others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(text.try_cast("timestamp_ntz"), *others)
 
 
 def parse_dayfirst(c: Column, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:
@@ -51,17 +57,17 @@ def num_of(df: DataFrame, name: str) -> Column:
     return parse_num(col(name))
 
 
-def ts_of(df: DataFrame, name: str) -> Column:
+def ts_of(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """A column as zone-free timestamp, parsed only where it is text."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return col(name).cast("timestamp_ntz")
-    return parse_ts(col(name))
+    return parse_ts(col(name), formats)
 
 
-def date_of(df: DataFrame, name: str) -> Column:
+def date_of(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """A column as date. A date column stays bare, so that filters on it reach the scan."""
-    return col(name) if isinstance(df.schema[name].dataType, T.DateType) else ts_of(df, name).cast("date")
+    return col(name) if isinstance(df.schema[name].dataType, T.DateType) else ts_of(df, name, formats).cast("date")
 
 
 def dayfirst_of(df: DataFrame, name: str, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:

@@ -44,8 +44,8 @@ def pct(c: Column) -> Column:
 def round_half_even(c: Column, digits: int) -> Column:
     """Round to ``digits`` places: scaled, ties to the even whole number, scaled back.
 
-    Eight places further the value is rounded first: a sum of doubles depends on the order of
-    addition in its last bits, and that must not decide on which side of a tie it falls.
+    Eight places further the value is rounded first, so that the last bits of a mean or ratio do
+    not decide on which side of a tie it falls; sums of amounts are exact (``exact_sum``).
     """
     scale = F.lit(float(10**digits))
     return F.rint(F.round(c.cast("double"), digits + 8) * scale) / scale

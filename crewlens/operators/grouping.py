@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from crewlens.functions.aggregates import sum0
@@ -37,12 +37,13 @@ def group_complete(
 ) -> DataFrame:
     """Aggregate by a banded column so that every label has a row, in label order.
 
-    Labels without rows get zero for the columns in ``zero`` and NULL otherwise. Rows outside
-    all bands form a last row only if ``keep_null`` is set and there are any. The input is
-    read once. The aggregate has one row per label at most (``key`` holds no other value),
-    which bounds the broadcast.
+    Labels without rows get zero for the columns in ``zero`` and NULL otherwise. A value that is
+    none of the labels counts as missing. Rows outside all bands form a last row only if
+    ``keep_null`` is set and there are any. The input is read once. The aggregate has one row
+    per label at most, which bounds the broadcast.
     """
-    groups = df.groupBy(col(key)) if keep_null else group_nonnull(df, key)
+    named = df.withColumn(key, F.when(col(key).isin(*labels), col(key)))
+    groups = named.groupBy(col(key)) if keep_null else group_nonnull(named, key)
     found = groups.agg(*[c.alias(n) for n, c in aggregates.items()])
     labelled = label_dimension(df, key, labels)
     out = labelled.join(found, key, "full_outer") if keep_null else labelled.join(F.broadcast(found), key, "left")
@@ -65,12 +66,12 @@ def totals_with_mode(
     """
     by_category = df.where(col(key).isNotNull()).groupBy(col(key), col(category)).agg(
         F.count(col(category)).alias("_n"),
-        *[F.sum(col(c)).alias(n) for n, c in sums.items()],
+        *[F.sum(col(c).cast("decimal(28,8)")).alias(n) for n, c in sums.items()],
         *[F.count(col(c)).alias(n) for n, c in counts.items()],
     )
     rank = F.when(col(category).isNotNull(), F.struct(-F.col("_n"), col(category)))
     return by_category.groupBy(col(key)).agg(
-        *[sum0(F.col(n)).alias(n) for n in sums],
+        *[sum0(F.col(n)).cast("double").alias(n) for n in sums],
         *[F.sum(F.col(n)).alias(n) for n in counts],
         F.min_by(col(category), rank).alias(mode),
     )
@@ -88,9 +89,11 @@ def medians(
 
     Spark's exact median keeps every distinct value of a group in one buffer. Here a sketch of
     fixed size first brackets the middle of each group, then values outside the bracket are
-    moved to its ends. That leaves the median unchanged, while the buffer holds under one
-    percent of the values. The sketch bound makes a bracket that misses the middle impossible;
-    should it happen nevertheless, the query fails instead of returning a wrong value.
+    moved to its ends, which leaves the median unchanged. Equal values are counted together
+    before anything is sorted, and the middle is read off a running count over the under one
+    percent of the values inside, which is sorted on disk if need be: no buffer grows with the
+    group. The sketch bound makes a bracket that misses the middle impossible; should it happen
+    nevertheless, the query fails instead of returning a wrong value.
 
     ``spread`` names columns that tell the rows of a large group apart. ``approx=True`` stops
     after the sketch. ``stage=True`` writes the brackets to the shared folder first: if they
@@ -110,13 +113,36 @@ def medians(
     told = [c for c in spread or df.columns if c != group]
     apart = known.select(col(group), *named, F.xxhash64(*[col(c) for c in told]).alias("_apart"))
     joined = join_group_facts(apart, brackets, group, "inner", ["_apart"], stage=stage)
-    return joined.groupBy(col(group)).agg(*[_clamped_median(n).alias(n) for n in values])
-
-
-def _clamped_median(name: str) -> Column:
-    value, low, high = F.col(name), F.col(f"_{name}")[0], F.col(f"_{name}")[1]
-    clamped = F.when(value.isNotNull(), F.least(F.greatest(value, low), high))
-    half = F.count(value) / F.lit(2)
-    hit = (F.count_if(value < low) < half) & (F.count_if(value > high) < half)
-    checked = F.when((F.count(value) == 0) | hit, F.median(clamped))
-    return checked.otherwise(F.raise_error(F.lit("median outside its bracket")).cast("double"))
+    cells = F.array(*[_clamped(i, n) for i, n in enumerate(values)])
+    counted = (
+        joined.select(col(group).alias("_g"), F.inline(cells))
+        .groupBy("_g", "_i", "_v", "_side")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    by = Window.partitionBy("_g", "_i")
+    known_n = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0))
+    placed = counted.select(
+        "_g", "_i", "_v", "_side",
+        (F.sum(known_n).over(by.orderBy("_v", "_side").rowsBetween(Window.unboundedPreceding, 0))).alias("_upto"),
+        known_n.alias("_n"),
+        F.sum(known_n).over(by).alias("_all"),
+    )
+    # The middle one or two values; they must not lie outside the bracket.
+    below, upto = F.col("_upto") - F.col("_n"), F.col("_upto")
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    middle = F.col("_v").isNotNull() & (((below < low) & (upto >= low)) | ((below < high) & (upto >= high)))
+    out = []
+    for i, n in enumerate(values):
+        own = middle & (F.col("_i") == i)
+        ends = F.min(F.when(own, F.col("_v"))) + F.max(F.when(own, F.col("_v")))
+        missed = F.max(F.when(own, F.abs("_side"))) > 0
+        out.append(F.when(missed, F.raise_error(F.lit("median outside its bracket")).cast("double")).otherwise(ends / 2).alias(n))
+    return placed.groupBy(F.col("_g").alias(group)).agg(*out)
+
+
+def _clamped(i: int, name: str) -> Column:
+    """A value moved into its bracket, and on which side of it it was; a null value gives nulls."""
+    value, low, high = F.col(name).cast("double"), F.col(f"_{name}")[0].cast("double"), F.col(f"_{name}")[1].cast("double")
+    side = F.when(value < low, F.lit(-1)).when(value > high, F.lit(1)).otherwise(F.lit(0))
+    moved = F.when(value.isNotNull(), F.least(F.greatest(value, low), high))
+    return F.struct(F.lit(i).alias("_i"), moved.alias("_v"), side.alias("_side"))

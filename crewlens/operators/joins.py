@@ -14,9 +14,16 @@ def enrich(master: DataFrame, facts: Sequence[DataFrame], key: str) -> DataFrame
     """Left-join facts with one row per key onto the master.
 
     All sides are already hashed on the key by the step that made them one row per key, so
-    the joins need no further shuffle, and a key never meets more than one row per side.
+    the joins need no further shuffle, and a key never meets more than one row per side. A
+    column that both sides have gets ``_x`` on the left and ``_y`` on the right.
     """
-    return reduce(lambda left, right: left.join(right, key, "left"), facts, master)
+    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
+        same = (set(left.columns) & set(right.columns)) - {key}
+        for c in same:
+            left, right = left.withColumnRenamed(c, f"{c}_x"), right.withColumnRenamed(c, f"{c}_y")
+        return left.join(right, key, "left")
+
+    return reduce(joined, facts, master)
 
 
 def join_on(tables: Sequence[DataFrame], key: str) -> DataFrame:

@@ -9,7 +9,6 @@ from crewlens.functions.parsing import col
 from crewlens.session import materialise
 
 SALTS = 16
-BROADCAST_ROWS = 50_000
 
 
 def salt_of(df: DataFrame, spread: Sequence[str] = (), salts: int = SALTS) -> Column:
@@ -37,13 +36,11 @@ def join_group_facts(
     before its own shuffle, and the runtime may split a hot partition further, which it does
     not do where the aggregation relies on the join's partitioning.
 
-    ``stage=True`` writes the facts to the shared folder first. With their row count known,
-    a small table is broadcast and the rows are not shuffled at all.
+    ``stage=True`` writes the facts to the shared folder first. With their size in bytes known,
+    the planner may broadcast them by its own threshold; then the rows are not shuffled at all.
     """
     if stage:
         facts = materialise(facts, "facts")
-        if facts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            return rows.join(F.broadcast(facts), group, how)
     copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = rows.withColumn("_salt", salt_of(rows, spread, salts))
     return salted.join(copies, [group, "_salt"], how).drop("_salt")

@@ -1,6 +1,8 @@
 """Forward fill in row order without an ordered pass over the whole table in one task."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,22 +13,26 @@ from crewlens.functions.parsing import col
 BLOCK_ROWS = 1 << 20
 
 
-def row_block(df: DataFrame, order: str, rows: int = BLOCK_ROWS) -> Column:
-    """Block of a row: a function of its ordinal alone, ascending with it.
+def row_levels(df: DataFrame, order: str, rows: int = BLOCK_ROWS) -> list[Column]:
+    """Block of a row, and the wider blocks that one lies in: functions of its ordinal alone,
+    ascending with it.
 
-    A whole-number ordinal is cut every ``rows``; a file ordinal (``part``, ``seq``) within
-    its part.
+    A whole-number ordinal is cut every ``rows``, every ``rows`` squared and every ``rows``
+    cubed; a file ordinal (``part``, ``seq``) every ``rows`` within its part, then by part.
     """
-    def start(c: Column) -> Column:
-        return c - F.pmod(c, F.lit(rows))
-
     kind = df.schema[order].dataType
     if isinstance(kind, T.StructType):
         o = col(order)
-        return F.struct(o["part"].alias("part"), start(o["seq"]).alias("start"))
+        block = F.struct(o["part"].alias("part"), (o["seq"] - F.pmod(o["seq"], F.lit(rows))).alias("start"))
+        return [block, o["part"], F.lit(0)]
     if not isinstance(kind, T.IntegralType):
         raise TypeError(f"{order} is no row ordinal: {kind.simpleString()}")
-    return start(col(order))
+    c = col(order).cast("long")
+    return [c - F.pmod(c, F.lit(rows**n)) for n in (1, 2, 3)]
+
+
+def _matches(names: Sequence[str], prefix: str) -> Column:
+    return reduce(and_, [col(n).eqNullSafe(F.col(f"{prefix}{i}")) for i, n in enumerate(names)])
 
 
 def forward_fill(
@@ -39,28 +45,39 @@ def forward_fill(
 ) -> DataFrame:
     """Last non-null value at or before each row.
 
-    Rows are cut into blocks by their ordinal. Each block yields its last value, a running
-    pass over that table (one row per block) tells what each block starts with, and rows are
-    then filled inside their block. The blocks depend on the data only, so a task that is run
-    again after the loss of an executor meets the same blocks. One long run of a single
-    partition key is cut as well.
+    Rows are cut into blocks by their ordinal, blocks into blocks of blocks, and so on. Each
+    yields its last value; from the widest down, a running pass inside the next wider block
+    tells what a block starts with; rows are then filled inside their block. However far apart
+    the ordinals lie, no task sees more than ``rows`` rows or blocks of one partition at a time.
+    The blocks depend on the data only, so a task that is run again after the loss of an
+    executor meets the same blocks.
     """
-    given = list(partition)
-    blocks = df.withColumn("_block", row_block(df, order, rows))
+    given, levels = list(partition), ["_b0", "_b1", "_b2"]
+    blocks = df.withColumns(dict(zip(levels, row_levels(df, order, rows), strict=True)))
     present = col(value).isNotNull()
-    ends = blocks.groupBy(*[col(p) for p in given], "_block").agg(
+    last = blocks.groupBy(*[col(p) for p in given], *levels).agg(
         F.max_by(col(value), F.when(present, col(order))).alias("_end")
     )
-    before = Window.partitionBy(*[col(p) for p in given]).orderBy("_block")
-    carried = ends.select(
-        *[col(p).alias(f"_k{i}") for i, p in enumerate(given)],
-        F.col("_block").alias("_b"),
-        F.last("_end", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-    )
-    match = F.col("_block") == F.col("_b")
-    for i, p in enumerate(given):
-        match = match & col(p).eqNullSafe(F.col(f"_k{i}"))
-    inside = Window.partitionBy(*[col(p) for p in given], "_block").orderBy(col(order))
+    ends = [last]
+    for n in (0, 1):
+        keys = [*given, *levels[n + 1 :]]
+        known = F.when(F.col("_end").isNotNull(), F.col(levels[n]))
+        ends.append(ends[-1].groupBy(*[col(k) for k in keys]).agg(F.max_by("_end", known).alias("_end")))
+    carried: DataFrame | None = None
+    for n in (2, 1, 0):
+        keys = [*given, *levels[n + 1 :]]
+        ahead = Window.partitionBy(*[col(k) for k in keys]).orderBy(levels[n]).rowsBetween(Window.unboundedPreceding, -1)
+        own = ends[n].withColumn("_own", F.last("_end", ignorenulls=True).over(ahead))
+        if carried is not None:
+            own = own.join(carried, _matches(keys, f"_k{n + 1}_"), "left")
+            own = own.withColumn("_own", F.coalesce("_own", "_carry"))
+        names = [*given, *levels[n:]]
+        carried = own.select(
+            *[col(k).alias(f"_k{n}_{i}") for i, k in enumerate(names)], F.col("_own").alias("_carry")
+        )
+    inside = Window.partitionBy(*[col(p) for p in given], "_b0").orderBy(col(order))
     running = F.last(col(value), ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    filled = blocks.join(carried, match, "left").withColumn(target, F.coalesce(running, F.col("_carry")))
-    return filled.drop("_block", "_b", "_carry", *[f"_k{i}" for i in range(len(given))])
+    filled = blocks.join(carried, _matches([*given, *levels], "_k0_"), "left")
+    return filled.withColumn(target, F.coalesce(running, F.col("_carry"))).drop(
+        *levels, "_carry", *[f"_k0_{i}" for i in range(len(given) + 3)]
+    )

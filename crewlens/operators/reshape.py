@@ -2,7 +2,6 @@
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +20,10 @@ def metric_columns(
 ) -> DataFrame:
     """Long to wide: one column per wanted metric, keeping keys that have all of them.
 
-    One pass of conditional aggregates in place of a filter per metric and joins on the key.
+    A key with a metric twice gets a row for each, in all combinations with the other metrics.
     """
-    wanted = df.where(col(metric).isin(*names))
-    picks = [F.max(F.when(col(metric) == m, col(value))).alias(n) for m, n in names.items()]
-    complete = [F.count_if(col(metric) == m) > 0 for m in names]
-    wide = wanted.groupBy(col(key)).agg(*picks, reduce(and_, complete).alias("_complete"))
-    return wide.where("_complete").drop("_complete")
+    parts = [df.where(col(metric) == m).select(col(key), col(value).alias(n)) for m, n in names.items()]
+    return reduce(lambda left, right: left.join(right, key), parts)
 
 
 def stack_rows(df: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:

@@ -3,7 +3,7 @@
 from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.functions import aggregates as A
@@ -11,13 +11,14 @@ from crewlens.functions.parsing import col
 from crewlens.functions.scalars import pct, ratio, round_half_even
 from crewlens.operators.columns import to_numeric_all
 from crewlens.operators.reshape import stack_rows
+from crewlens.vocabulary import ROW
 
 
 def profile_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Number of rows and columns per named table."""
+    """Number of rows and columns per named table; the row ordinal is no column of the sheet."""
     parts = [
         t.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("name"), "n_rows", F.lit(len(t.columns)).alias("n_cols")
+            F.lit(name).alias("name"), "n_rows", F.lit(sum(c != ROW for c in t.columns)).alias("n_cols")
         )
         for name, t in tables.items()
     ]
@@ -27,6 +28,19 @@ def profile_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def unreadable(df: DataFrame, read: Mapping[str, Column]) -> DataFrame:
+    """Rows, given values and unreadable values for each column and the expression that reads it."""
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(col(c)).alias(f"_g{i}") for i, c in enumerate(read)],
+        *[F.count_if(col(c).isNotNull() & value.isNull()).alias(f"_u{i}") for i, (c, value) in enumerate(read.items())],
+    )
+    return stack_rows(counts, [
+        {"column": F.lit(c), "n_rows": F.col("_rows"), "n_given": F.col(f"_g{i}"), "n_unreadable": F.col(f"_u{i}")}
+        for i, c in enumerate(read)
+    ])
+
+
 def data_quality(df: DataFrame, digits: int = 2) -> DataFrame:
     """Missing values per column as count and percent, worst first."""
     counts = df.agg(
@@ -71,16 +85,19 @@ def ols_by(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
 
 
 def histogram_by(df: DataFrame, x: str, group: str, bins: int) -> DataFrame:
-    """Counts per equal-width bin and group, in bin order; the upper end belongs to the last bin."""
-    known = df.where(col(x).isNotNull())
+    """Counts per equal-width bin and group, in bin order; the upper end belongs to the last bin.
+
+    The input is counted per group and value first; ends and bins come from those counts.
+    """
+    known = df.where(col(x).isNotNull()).groupBy(col(group), col(x)).agg(F.count(F.lit(1)).alias("_n"))
     ends = known.agg(F.struct(F.min(col(x)).alias("low"), F.max(col(x)).alias("high")).alias("ends"))
-    placed = known.select(col(group), col(x), ends.scalar().alias("_ends"))
+    placed = known.select(col(group), col(x), "_n", ends.scalar().alias("_ends"))
     low, high = F.col("_ends.low"), F.col("_ends.high")
     # One value only: there is no width, and width_bucket is NULL.
     number = F.least(F.coalesce(F.width_bucket(col(x), low, high, F.lit(bins)), F.lit(1)), F.lit(bins))
     width = (high - low) / F.lit(bins)
     counted = placed.groupBy(number.alias("bin"), col(group), low.alias("_low"), width.alias("_width")).agg(
-        F.count(F.lit(1)).alias("n")
+        F.sum("_n").alias("n")
     )
     return counted.select(
         "bin",

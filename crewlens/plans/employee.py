@@ -52,7 +52,7 @@ def absence_facts(df: DataFrame) -> DataFrame:
     days = first_existing(df, V.ABSENCE_DAYS_PREFERENCE)
     keyed = standardize_id(df, V.EMPLOYEE_CODE, KEY)
     return group_nonnull(keyed.select(KEY, num_of(keyed, days).alias("_days")), KEY).agg(
-        A.sum0(F.col("_days")).alias("Total_Absence_Days"),
+        A.amount0(F.col("_days")).alias("Total_Absence_Days"),
         F.count("_days").alias("Absence_Count"),
     )
 
@@ -68,7 +68,7 @@ def training_facts(df: DataFrame) -> DataFrame:
         done.alias("_done"),
     )
     return group_nonnull(rows, KEY).agg(
-        A.sum0(F.col("_hours")).alias("Total_Training_Hours"),
+        A.amount0(F.col("_hours")).alias("Total_Training_Hours"),
         F.count_distinct("_session").alias("Training_Sessions_Count"),
         F.count_if("_done").alias("Completed_Training_Sessions"),
     )
@@ -107,8 +107,11 @@ def department_column(df: DataFrame) -> str:
 
 
 def entry_date(df: DataFrame) -> str | None:
-    """The column that holds the date of joining, if any."""
-    return next((c for c in df.columns if c.startswith(V.ENTRY_DATE_PREFIX)), None)
+    """The column that holds the date of joining, if any; two that could are an error."""
+    found = [c for c in df.columns if c.startswith(V.ENTRY_DATE_PREFIX)]
+    if len(found) > 1:
+        raise ValueError(f"name the entry date: any of {found}")
+    return found[0] if found else None
 
 
 def tenure_and_risk(
@@ -157,9 +160,15 @@ def training_measures(
     })
 
 
-def employee_indicators(df: DataFrame, department: str | None = None, stage: bool = False) -> DataFrame:
+def employee_indicators(
+    df: DataFrame,
+    department: str | None = None,
+    stage: bool = False,
+    entered: str | None = None,
+    reference: str = V.REFERENCE_DATE,
+) -> DataFrame:
     """The employee table with all indicators, at the default thresholds and bands."""
-    return training_measures(tenure_and_risk(df), department, stage=stage)
+    return training_measures(tenure_and_risk(df, entered, reference), department, stage=stage)
 
 
 def indicator_view(df: DataFrame, department: str | None = None) -> DataFrame:

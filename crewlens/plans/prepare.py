@@ -1,12 +1,14 @@
 """Typed, canonically named tables from the raw sheets. Projections and filters only, except
 for the reviews of one employee, which are combined to one row."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens import vocabulary as V
 from crewlens.functions import aggregates as A
-from crewlens.functions.parsing import col, date_of, dayfirst_of, istartswith, norm_eq, num_of
+from crewlens.functions.parsing import DATE_FORMATS, col, date_of, dayfirst_of, istartswith, norm_eq, num_of
 from crewlens.functions.scalars import count_across, nullif0, ratio
 from crewlens.operators.columns import clean_header, column_or, select_positions
 from crewlens.operators.joins import join_on
@@ -16,11 +18,11 @@ from crewlens.operators.rows import drop_missing, labelled_rows, review_document
 from crewlens.sources.readers import ROW
 
 
-def workforce(df: DataFrame) -> DataFrame:
+def workforce(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Monthly snapshots; rows without an id or a readable period are dropped."""
     typed = df.select(
         F.coalesce(col(V.ID_PRIMARY), column_or(df, V.ID_BACKUP)).alias("employee_id"),
-        date_of(df, V.PERIOD).alias("PERIOD"),
+        date_of(df, V.PERIOD, formats).alias("PERIOD"),
         col(V.COUNTRY_LABEL).alias("country"),
         col(V.GENDER_LABEL).alias("gender"),
         col(V.CONTRACT_LABEL).alias("contract"),
@@ -66,11 +68,11 @@ def performance_2024(df: DataFrame, order: str = ROW) -> DataFrame:
     )
 
 
-def absenteeism(df: DataFrame) -> DataFrame:
+def absenteeism(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Absence events; rows without an id or a readable date are dropped."""
     typed = df.select(
         col(V.EMPLOYEE_CODE).alias("employee_id"),
-        date_of(df, V.ABSENCE_DATE).alias("absence_date"),
+        date_of(df, V.ABSENCE_DATE, formats).alias("absence_date"),
         F.coalesce(num_of(df, V.WORKED_DAYS), F.lit(0.0)).alias("working_days"),
         F.coalesce(col(V.ABSENCE_GROUP), F.lit(V.UNKNOWN)).alias("absence_group"),
         col(V.COMPANY).alias("entity"),
@@ -117,15 +119,20 @@ def training_cold(df: DataFrame) -> DataFrame:
     return counted.withColumn("impact_positive_rate", rate)
 
 
-def finance(pl: DataFrame, fte: DataFrame, order: str = ROW) -> DataFrame:
-    """Yearly amounts and amounts per full-time position, from two wide sheets by position."""
-    amounts = select_positions(pl, V.PL_POSITIONS, ["metric", *V.FINANCE_YEARS])
-    amounts = melt(amounts.where(F.col("metric").isNotNull()), ["metric"], V.FINANCE_YEARS, "year", "value")
+def finance(pl: DataFrame, fte: DataFrame, order: str = ROW, years: Sequence[str] = V.FINANCE_YEARS) -> DataFrame:
+    """Yearly amounts and amounts per full-time position, from two wide sheets by position.
+
+    The years stand side by side from the second column on, in the second sheet with a column
+    between them.
+    """
+    n = len(years)
+    amounts = select_positions(pl, range(n + 1), ["metric", *years])
+    amounts = melt(amounts.where(F.col("metric").isNotNull()), ["metric"], years, "year", "value")
 
     ordinal = fte.columns.index(order)
-    segments = select_positions(fte, [*V.FTE_POSITIONS, ordinal], ["segment", *V.FINANCE_YEARS, order])
+    segments = select_positions(fte, [*range(0, 2 * n + 1, 2), ordinal], ["segment", *years, order])
     segments = labelled_rows(segments, order, V.FTE_FIRST_ROW, V.FTE_SEGMENTS, "segment")
-    positions = melt(segments, ["segment"], V.FINANCE_YEARS, "year", "value")
+    positions = melt(segments, ["segment"], years, "year", "value")
     return finance_ratios(
         positions.where(F.col("segment") == V.FTE_SEGMENTS[0]).select("year", F.col("value").alias("avg_fte_proxy")),
         metric_columns(amounts, "year", "metric", "value", V.PL_METRICS),

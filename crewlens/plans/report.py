@@ -1,9 +1,14 @@
 """The whole report: sources to result tables, chart feeds, text facts and the employee table."""
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from crewlens import vocabulary as V
+from crewlens.functions.parsing import DATE_FORMATS, date_of, dayfirst_of, num_of
 from crewlens.operators import stats
 from crewlens.operators.rows import drop_missing
 from crewlens.plans import employee, feeds, kpis, prepare
@@ -13,25 +18,63 @@ from crewlens.sources.writers import save_employee_table, save_kpi_lines, save_t
 
 # Results with a row per employee; everything else is of report size.
 EMPLOYEE_GRAIN = ("absence_by_employee", "performance_2023", "performance_2024")
-
-
-def kpi_tables(sources: Mapping[str, DataFrame], share: bool = False) -> dict[str, DataFrame]:
+# Results with a row per month, year, band or fixed line: written as one file.
+SINGLE = (
+    "kpi_summary", "monthly_headcount", "training_kpis", "quick_scores", "cold_impact", "finance", "training_perf_summary",
+    "training_band_summary", "trend_by_risk", "correlation", "insight_facts", "source_counts", "source_quality",
+)
+
+
+@dataclass(frozen=True)
+class Options:
+    """How the sheets are read and judged."""
+
+    sep: str = ","
+    encoding: str = "UTF-8"
+    multi_line: Collection[str] = ()
+    date_formats: Sequence[str] = DATE_FORMATS
+    year: int = V.REPORT_YEAR
+    department: str | None = None
+    entered: str | None = None
+    reference: str = V.REFERENCE_DATE
+
+
+def source_quality(sources: Mapping[str, DataFrame], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Per sheet and typed column: rows, given values, and those that cannot be read."""
+    dated = {"workforce": V.PERIOD, "absenteeism": V.ABSENCE_DATE}
+    surveyed = {"training_quick": V.SURVEY_DATE, "training_cold": V.SURVEY_DATE}
+    numbered = {"performance_2024": V.REVIEW_SCORE, "training_records": V.TRAINING_HOURS, "training_quick": V.SURVEY_RATING}
+    parts = []
+    for sheet, df in sources.items():
+        read = {}
+        if sheet in dated:
+            read[dated[sheet]] = date_of(df, dated[sheet], formats)
+        if sheet in surveyed:
+            read[surveyed[sheet]] = dayfirst_of(df, surveyed[sheet])
+        if sheet in numbered:
+            read[numbered[sheet]] = num_of(df, numbered[sheet])
+        if read:
+            parts.append(stats.unreadable(df, read).select(F.lit(sheet).alias("sheet"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def kpi_tables(sources: Mapping[str, DataFrame], share: bool = False, options: Options = Options()) -> dict[str, DataFrame]:
     """All KPI tables as lazy plans.
 
     ``share`` writes the combined reviews, which three results read, to the shared folder
     once; the other inputs are projections that each reader prunes for itself.
     """
-    workforce = prepare.workforce(sources["workforce"])
+    workforce = prepare.workforce(sources["workforce"], options.date_formats)
     reviews = prepare.performance_2024(sources["performance_2024"])
     if share:
         reviews = materialise(reviews, "reviews")
-    absences = prepare.absenteeism(sources["absenteeism"])
+    absences = prepare.absenteeism(sources["absenteeism"], options.date_formats)
     training = prepare.training_records(sources["training_records"])
     quick = prepare.training_quick(sources["training_quick"])
     cold = prepare.training_cold(sources["training_cold"])
     finance = prepare.finance(sources["finance_pl"], sources["finance_fte"])
     return {
-        "kpi_summary": kpis.kpi_summary(workforce, reviews, training, quick, absences, finance),
+        "kpi_summary": kpis.kpi_summary(workforce, reviews, training, quick, absences, finance, options.year),
         "monthly_headcount": kpis.monthly_headcount(workforce),
         "headcount_by_country": kpis.headcount_by_country(workforce),
         "review_metrics": kpis.review_metrics(reviews),
@@ -59,14 +102,18 @@ def employee_table(sources: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def employee_tables(integrated: DataFrame, indicators: DataFrame) -> dict[str, DataFrame]:
+def employee_tables(
+    integrated: DataFrame, indicators: DataFrame, department: str | None = None
+) -> dict[str, DataFrame]:
     """Analytics on the employee table; both inputs are read several times."""
     return {
         "data_quality": stats.data_quality(integrated),
-        "performance_governance_summary": employee.governance_summary(indicators),
+        "performance_governance_summary": employee.governance_summary(indicators, department),
+        "performance_governance_top": employee.governance_top(indicators, department=department),
+        "indicator_view": employee.indicator_view(indicators, department),
         "training_band_summary": employee.training_band_summary(indicators),
         "trend_by_risk": employee.trend_by_risk(indicators),
-        "tenure_histogram": employee.tenure_histogram(indicators),
+        "tenure_histogram": employee.tenure_histogram(indicators, department),
         "correlation": employee.correlation(indicators),
     }
 
@@ -82,33 +129,41 @@ def heads(tables: Mapping[str, DataFrame], rows: int = 10) -> dict[str, DataFram
     return {n: t.limit(rows) for n, t in tables.items()}
 
 
-def run(spark: SparkSession, root: str, out: str, fmt: str = "csv") -> dict[str, DataFrame]:
+def run(
+    spark: SparkSession, root: str, out: str, fmt: str = "csv", options: Options = Options()
+) -> dict[str, DataFrame]:
     """Read the sheets under ``root`` and write all results under ``out``.
 
     Text sheets have several readers each, so they are first copied to columnar form in the
     shared folder: the text is parsed once and every reader prunes columns. The employee table
     and its indicators are written there too before their readers start. Chart feeds and text
-    facts are made from the written KPI tables.
+    facts are made from the written KPI tables. ``session.discard_copies`` removes the copies once the returned
+    tables are no longer needed; the command line does.
     """
-    sources = load_sources(spark, root, fmt)
+    sources = load_sources(spark, root, fmt, options.sep, encoding=options.encoding, multi_line=options.multi_line)
     if fmt == "csv":
         sources = {n: materialise(t, n) for n, t in sources.items()}
-    tables = kpi_tables(sources, share=True)
-    save_tables(tables, f"{out}/tables", wide=EMPLOYEE_GRAIN)
+    tables = kpi_tables(sources, share=True, options=options)
+    save_tables(tables, f"{out}/tables", SINGLE)
     saved = saved_tables(spark, f"{out}/tables", tables)
 
     integrated = materialise(employee_table(sources), "employee")
-    indicators = materialise(employee.employee_indicators(integrated, stage=True), "indicators")
-    save_employee_table(indicators, f"{out}/employee")
-    analytics = employee_tables(integrated, indicators)
-    save_tables({"source_counts": stats.profile_counts(sources), **analytics}, f"{out}/analytics")
+    judged = employee.employee_indicators(
+        integrated, options.department, stage=True, entered=options.entered, reference=options.reference
+    )
+    indicators = materialise(judged, "indicators")
+    save_employee_table(indicators, f"{out}/employee", options.department or employee.department_column(indicators))
+    analytics = employee_tables(integrated, indicators, options.department)
+    checks = {"source_counts": stats.profile_counts(sources), "source_quality": source_quality(sources, options.date_formats)}
+    save_tables({**checks, **analytics}, f"{out}/analytics", SINGLE)
 
     facts = kpis.insight_facts(
         *[saved[n] for n in (
             "monthly_headcount", "review_metrics", "training_kpis", "quick_scores", "cold_impact", "finance",
-        )]
+        )],
+        year=options.year,
     )
     save_tables(feeds.chart_feeds(saved), f"{out}/feeds")
-    save_tables({"insight_facts": facts}, f"{out}/facts")
+    save_tables({"insight_facts": facts}, f"{out}/facts", SINGLE)
     save_kpi_lines(saved["kpi_summary"], f"{out}/headline")
     return {**tables, **analytics, "insight_facts": facts, "employee_indicators": indicators}

@@ -23,16 +23,16 @@ DEFAULTS = {
 MB = 1 << 20
 
 
-def sizing(scan_bytes: int, cores: int) -> dict[str, str]:
+def sizing(scan_bytes: int, cores: int, shuffled: float = 0.1) -> dict[str, str]:
     """Split and shuffle settings for an input size and a number of executor cores.
 
     Scan tasks: about forty per core, between 128 MB and 1 GB each, so that a large input does
-    not turn into a million tasks. Shuffles: pruning and partial aggregation leave at most
-    about a tenth of the input, cut to 256 MB, at least one partition per core; the runtime
+    not turn into a million tasks. Shuffles: the share ``shuffled`` of the input that pruning
+    and partial aggregation leave, cut to 256 MB, at least one partition per core; the runtime
     merges partitions that turn out small.
     """
     split = min(max(scan_bytes // (cores * 40), 128 * MB), 1024 * MB)
-    partitions = min(max(scan_bytes // 10 // (256 * MB), cores), 40_000)
+    partitions = max(int(scan_bytes * shuffled) // (256 * MB), cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -72,6 +72,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_copies: list[str] = []
+
+
+def discard_copies(spark: SparkSession) -> None:
+    """Delete what ``materialise`` has written in this process; tables that read it end with it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _copies:
+        path = jvm.org.apache.hadoop.fs.Path(_copies.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -81,4 +92,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _copies.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,7 +1,7 @@
 """Scans. One file or folder per sheet, CSV or parquet, always lazy after the header."""
 
 from collections import Counter
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from crewlens import vocabulary as V
 from crewlens.functions.parsing import col
 from crewlens.operators.columns import clean_columns
 
-ROW = "_row"
+ROW = V.ROW
 
 
 def unique_headers(names: Sequence[str | None]) -> list[str]:
@@ -25,10 +25,10 @@ def unique_headers(names: Sequence[str | None]) -> list[str]:
     return out
 
 
-def text_schema(spark: SparkSession, path: str, sep: str = ",") -> T.StructType:
+def text_schema(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> T.StructType:
     """All-text schema from the header line; reads that one line only."""
     # Blanks inside the header texts are kept: some sheets are addressed with them.
-    head = spark.read.option("sep", sep).option("escape", '"').csv(path).first()
+    head = spark.read.option("sep", sep).option("encoding", encoding).option("escape", '"').csv(path).first()
     if head is None:
         raise ValueError(f"no header in {path}")
     return T.StructType([T.StructField(n, T.StringType()) for n in unique_headers(list(head))])
@@ -44,10 +44,20 @@ def blank_to_null(df: DataFrame, tokens: Sequence[str] = V.MISSING_TOKENS) -> Da
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ","
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with header. Without a schema the types are inferred, which costs a pass."""
-    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
+    """CSV with header. Without a schema the types are inferred, which costs a pass.
+
+    A row that does not have the header's number of cells is an error, so that a line break
+    inside a cell cannot split it unseen. ``multi_line`` reads such cells; a file is then one
+    task.
+    """
+    reader = spark.read.options(header=True, sep=sep, escape='"', encoding=encoding, multiLine=multi_line, mode="FAILFAST")
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
@@ -59,6 +69,8 @@ def read_table(
     fmt: str | None = None,
     sep: str = ",",
     clean: bool = True,
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
     """A sheet as a table: cleaned headers, 'no value' texts as NULL, optional row ordinal.
 
@@ -69,8 +81,8 @@ def read_table(
     """
     kind = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if kind == "csv":
-        schema = schema or text_schema(spark, path, sep)
-        raw = read_csv(spark, path, schema, sep)
+        schema = schema or text_schema(spark, path, sep, encoding)
+        raw = read_csv(spark, path, schema, sep, encoding, multi_line)
         position = F.monotonically_increasing_id()
     elif kind == "parquet":
         raw = (spark.read.schema(schema) if schema else spark.read).parquet(path)
@@ -110,15 +122,19 @@ def load_sources(
     sep: str = ",",
     names: Iterable[str] = tuple(SHEETS),
     views: bool = False,
+    encoding: str = "UTF-8",
+    multi_line: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """The named sheets under ``root`` (``<root>/<sheet>.<fmt>``) as a catalog of lazy tables.
 
-    ``views`` also registers them as temporary views under the same names.
+    ``views`` also registers them as temporary views under the same names. ``multi_line`` names
+    the CSV sheets with line breaks inside cells.
     """
     tables = {}
     for name in names:
         ordered, clean = SHEETS[name]
-        tables[name] = read_table(spark, f"{root}/{name}.{fmt}", ordinal=ordered, fmt=fmt, sep=sep, clean=clean)
+        tables[name] = read_table(spark, f"{root}/{name}.{fmt}", ordinal=ordered, fmt=fmt, sep=sep, clean=clean,
+                                  encoding=encoding, multi_line=name in multi_line)
     if views:
         for name, table in tables.items():
             table.createOrReplaceTempView(name)

@@ -11,14 +11,13 @@ from crewlens.functions.scalars import plain_number
 CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def save_tables(tables: Mapping[str, DataFrame], folder: str, wide: Collection[str] = ()) -> None:
+def save_tables(tables: Mapping[str, DataFrame], folder: str, single: Collection[str] = ()) -> None:
     """One CSV folder with header per table.
 
-    Results of report size (a row per month, country, year or band) become a single file in
-    row order; names in ``wide`` have a row per employee and keep their partitions.
+    Names in ``single`` become one file: results of report size, a row per month, year or band.
     """
     for name, table in tables.items():
-        out = table if name in wide else table.coalesce(1)
+        out = table.coalesce(1) if name in single else table
         out.write.mode("overwrite").options(**CSV).csv(f"{folder}/{name}")
 
 

@@ -6,6 +6,9 @@ compared against them, so they are kept as they are written in the sheets.
 
 import math
 
+# Name of the row ordinal that readers add
+ROW = "_row"
+
 # Workforce snapshots
 ID_PRIMARY = "ID Employee"
 ID_BACKUP = "ID Employee.1"
@@ -81,8 +84,6 @@ IMPACT_QUESTIONS = (
 
 # Finance
 FINANCE_YEARS = ("2022", "2023", "2024", "2025")
-PL_POSITIONS = (0, 1, 2, 3, 4)
-FTE_POSITIONS = (0, 2, 4, 6, 8)
 FTE_FIRST_ROW = 1
 FTE_SEGMENTS = ("total", "permanent", "temporary")
 PL_METRICS = {
@@ -107,15 +108,16 @@ FIRST_YEAR = 2024
 NOT_AVAILABLE = "n/a"
 
 # KPI table: (key, label, digits, definition), in the order of the result
+# {year} stands for the report year.
 KPI_ROWS = (
     ("headcount", "Latest monthly headcount", 0, "Unique active employees in latest workforce snapshot"),
     ("female", "Female representation", 1, "Share of active workforce labeled Female in latest snapshot (%)"),
     ("completion", "2024 review completion rate", 1, "Share of employees with a completed 2024 performance review (%)"),
     ("score", "2024 average performance score", 2, "Mean available 2024 performance rating (1-5)"),
-    ("hours", "2025 training hours", 1, "Total completed training hours in 2025"),
+    ("hours", "{year} training hours", 1, "Total completed training hours in {year}"),
     ("satisfaction", "Training satisfaction", 2, "Average post-training rating across completed quick reviews (1-5)"),
-    ("absence", "2025 absence days per active employee", 2, "Total 2025 worked absence days divided by latest active headcount"),
-    ("nbi", "2025 NBI per FTE", 2, "Net banking income divided by average FTE"),
+    ("absence", "{year} absence days per active employee", 2, "Total {year} worked absence days divided by latest active headcount"),
+    ("nbi", "{year} NBI per FTE", 2, "Net banking income divided by average FTE"),
 )
 
 # Spreadsheet cell texts that mean "no value"

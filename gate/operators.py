@@ -19,13 +19,16 @@ from gate.sheets import table
 # --- Sources and columns -------------------------------------------------------------------
 
 
-@query("profile_counts", """
-select 'orders' as name, count(*) n_rows, cast(6 as bigint) n_cols from orders
-union all select 'customer', count(*), 5 from customer
-union all select 'lineitem', count(*), 11 from lineitem
-union all select 'events', count(*), 6 from events""")
+TABLES = {
+    "region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
+    "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4,
+}
+
+
+@query("profile_counts", " union all ".join(
+    f"select '{n}' as name, count(*) n_rows, cast({c} as bigint) n_cols from {n}" for n, c in TABLES.items()))
 def profile_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.profile_counts({n: table(spark, sf, n) for n in ("orders", "customer", "lineitem", "events")})
+    return stats.profile_counts({n: spark.read.parquet(f"{sf}/{n}.parquet") for n in TABLES})
 
 
 @query("schema_drift", """
@@ -158,15 +161,17 @@ def left_join_fill_zero(spark: SparkSession, sf: str) -> DataFrame:
 @query("inner_join_chain", """
 with f as (select year(o_orderdate) y, count(*) n_f from orders where o_orderstatus = 'F' group by 1),
 o as (select year(o_orderdate) y, count(*) n_o from orders where o_orderstatus = 'O' group by 1),
-p as (select year(o_orderdate) y, count(*) n_p from orders where o_orderstatus = 'P' and year(o_orderdate) > 1996 group by 1)
-select cast(y as bigint) as year, n_f, n_o, n_p from f join o using (y) join p using (y)""")
+p as (select year(o_orderdate) y, count(*) n_p from orders where o_orderstatus = 'P' group by 1)
+select cast(y as bigint) as year, n_f, n_o, n_p from f join o using (y)
+join (select * replace (y + 2 as y) from p) using (y)""")
 def inner_join_chain(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
-    late = orders.where((F.col("o_orderstatus") != "P") | (F.col("year") > 1996))
     parts = [
-        late.where(F.col("o_orderstatus") == s).groupBy("year").agg(F.count(F.lit(1)).alias(f"n_{s.lower()}"))
+        orders.where(F.col("o_orderstatus") == s).groupBy("year").agg(F.count(F.lit(1)).alias(f"n_{s.lower()}"))
         for s in ("F", "O", "P")
     ]
+    # two years apart, so that some years miss on one side
+    parts[2] = parts[2].withColumn("year", F.col("year") + 2)
     return joins.join_on(parts, "year")
 
 
@@ -277,6 +282,31 @@ def group_by_derived_year(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("parse_period", """
+select o_orderkey, cast(o_orderdate as date) as day from orders""")
+def parse_period(spark: SparkSession, sf: str) -> DataFrame:
+    day, status = F.col("o_orderdate"), F.col("o_orderstatus")
+    text = (
+        F.when(status == "F", F.date_format(day, "d/M/yyyy"))
+        .when(status == "O", F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format(day, "dd.MM.yyyy"))
+    )
+    orders = table(spark, sf, "orders").select("o_orderkey", text.alias("day"))
+    return orders.select("o_orderkey", P.date_of(orders, "day").alias("day"))
+
+
+@query("source_quality", """
+select 'day' as "column", count(*) n_rows, count(*) n_given, count(*) filter (where o_orderstatus = 'P') n_unreadable from orders
+union all
+select 'score', count(*), count(*) filter (where o_orderstatus <> 'O'), count(*) filter (where o_orderstatus = 'F') from orders""")
+def source_quality(spark: SparkSession, sf: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    day = F.when(status == "P", F.lit("soon")).otherwise(F.date_format("o_orderdate", "d/M/yyyy"))
+    score = F.when(status == "F", F.lit("4,5")).when(status == "P", F.lit(" 3 "))
+    sheet = table(spark, sf, "orders").select(day.alias("day"), score.alias("score"))
+    return stats.unreadable(sheet, {"day": P.date_of(sheet, "day"), "score": P.num_of(sheet, "score")})
+
+
 @query("line_statistics", """
 select l_returnflag, round(regr_slope(y, x), 4) slope, round(regr_intercept(y, x), 2) intercept,
        round(regr_r2(y, x), 4) r2, cast(regr_count(y, x) as bigint) n
@@ -383,6 +413,26 @@ def metric_columns(spark: SparkSession, sf: str) -> DataFrame:
     return reshape.metric_columns(counted, "n_regionkey", "c_mktsegment", "n", names)
 
 
+@query("metric_columns_repeated", """
+select cast(a.o_custkey as bigint) o_custkey, a.o_totalprice as open, b.o_totalprice as done
+from orders a join orders b using (o_custkey) where a.o_orderstatus = 'O' and b.o_orderstatus = 'F'""")
+def metric_columns_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    return reshape.metric_columns(
+        table(spark, sf, "orders"), "o_custkey", "o_orderstatus", "o_totalprice", {"O": "open", "F": "done"}
+    )
+
+
+@query("enrich_same_names", """
+select c_custkey, c.c_acctbal as c_acctbal_x, round(o.total, 4) as c_acctbal_y
+from customer c left join (select o_custkey c_custkey, sum(cast(o_totalprice as decimal(18, 2)))::double total from orders group by 1) o
+using (c_custkey)""")
+def enrich_same_names(spark: SparkSession, sf: str) -> DataFrame:
+    spent = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("c_acctbal")
+    )
+    return joins.enrich(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), [spent], "c_custkey")
+
+
 # --- Scalar functions ----------------------------------------------------------------------
 
 

@@ -7,7 +7,6 @@ from crewlens import vocabulary as V
 from crewlens.functions import scalars as S
 from crewlens.operators import grouping, joins, rows, stats
 from crewlens.plans import employee, kpis, prepare
-from crewlens.session import materialise
 from crewlens.sources.writers import kpi_lines
 from gate import sheets
 from gate.registry import query
@@ -70,13 +69,13 @@ COLD = """
 FINANCE = """
   heads as (
     select year(o_orderdate) y, cast(count(*) as double) avg_fte_proxy
-    from orders where o_orderpriority like '2%' and year(o_orderdate) between 1995 and 1998 group by 1),
+    from orders where o_orderpriority like '2%' group by 1),
   amounts as (
     select year(o_orderdate) y,
            cast(sum(case when o_orderstatus = 'F' then cast(o_totalprice as decimal(18, 2)) end) as double) nbi,
            cast(-sum(case when o_orderstatus = 'O' then cast(o_totalprice as decimal(18, 2)) end) as double) personnel_cost,
            cast(-sum(case when o_orderstatus = 'P' then cast(o_totalprice as decimal(18, 2)) end) as double) training_cost
-    from orders where year(o_orderdate) between 1995 and 1998 group by 1),
+    from orders group by 1),
   finance as (
     select cast(y + 27 as bigint) as year, avg_fte_proxy, nbi, personnel_cost, training_cost,
            nbi / avg_fte_proxy nbi_per_fte, abs(personnel_cost) / avg_fte_proxy personnel_cost_per_fte,
@@ -202,10 +201,10 @@ def review_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("training_kpis", f"""
 with {TRAINING}, {TRAINING_KPIS}
-select year, trained_employees, completed_courses, round(training_hours, 2) training_hours,
-       round(avg_hours_per_trained_employee, 2) avg_hours_per_trained_employee,
-       round(certification_rate, 2) certification_rate
-from training_kpis""", digits=2)
+select year, trained_employees, completed_courses, round(training_hours, 4) training_hours,
+       round(avg_hours_per_trained_employee, 4) avg_hours_per_trained_employee,
+       round(certification_rate, 4) certification_rate
+from training_kpis""")
 def training_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return kpis.training_kpis(prepare.training_records(sheets.training_sheet(spark, sf)), done="purchase")
 
@@ -301,7 +300,7 @@ vals(o, v) as (
   union all select 6, round_even((select sum(l_quantity) from lineitem) / headcount, 2) from latest
   union all select 7, round_even(nbi_per_fte, 2) from finance where year = 2025),
 names(o, kpi, definition) as (values {", ".join(
-    f"({i}, '{label}', '{text}')" for i, (_, label, _, text) in enumerate(V.KPI_ROWS))})
+    f"({i}, '{label}', '{text}')".format(year=V.REPORT_YEAR) for i, (_, label, _, text) in enumerate(V.KPI_ROWS))})
 """
 
 
@@ -318,25 +317,26 @@ def kpi_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("satisfaction_outer", f"""
-with {QUICK}, {QUICK_SCORES.format(done="F", years="<= 1999")}, {COLD.format(years=">= 1997")}
+with {QUICK}, {QUICK_SCORES.format(done="F", years="is not null")}, {COLD.format(years="is not null")}
 select year, round(avg_training_rating, 4) avg_training_rating, rating_responses,
        round(avg_positive_impact_rate, 4) avg_positive_impact_rate, impact_responses
-from quick_scores full join cold_impact using (year)""")
+from quick_scores full join (select * replace (year + 2 as year) from cold_impact) using (year)""")
 def satisfaction_outer(spark: SparkSession, sf: str) -> DataFrame:
     quick = kpis.quick_scores(prepare.training_quick(sheets.quick_sheet(spark, sf)), done="F")
     cold = kpis.cold_impact(prepare.training_cold(sheets.cold_sheet(spark, sf)))
-    return kpis.satisfaction(quick.where("year <= 1999"), cold.where("year >= 1997"))
+    # two years apart, so that either side has years of its own
+    return kpis.satisfaction(quick, cold.withColumn("year", F.col("year") + 2))
 
 
 @query("insight_facts", f"""
-with {REVIEWS}, {REVIEW_METRICS}, {TRAINING}, {TRAINING_KPIS}, {QUICK}, {QUICK_SCORES.format(done="F", years="<= 1997")},
+with {REVIEWS}, {REVIEW_METRICS}, {TRAINING}, {TRAINING_KPIS}, {QUICK}, {QUICK_SCORES.format(done="F", years="is not null")},
   {COLD.format(years="is not null")}, {FINANCE}, {MONTHLY}
 select (select arg_min(headcount, PERIOD) from monthly where year(PERIOD) = 1998) first_headcount,
        (select arg_max(headcount, PERIOD) from monthly) latest_headcount,
        (select printf('%.1f%%', arg_max(female_share, PERIOD) * 100) from monthly) latest_female_share,
        (select printf('%.0f', max(training_hours)) from training_kpis where year = 12) training_hours,
        (select max(trained_employees) from training_kpis where year = 12) trained_employees,
-       coalesce((select printf('%.2f/5', max(avg_training_rating)) from quick_scores where year = 1999), 'n/a') training_rating,
+       coalesce((select printf('%.2f/5', max(avg_training_rating)) from quick_scores where year + 90 = 1999), 'n/a') training_rating,
        coalesce((select printf('%.1f%%', max(avg_positive_impact_rate) * 100) from cold_impact where year = 1999), 'n/a') positive_impact,
        (select printf('%.1f%%', sum(completion_rate * employees_with_reviews) / sum(employees_with_reviews) * 100)
         from review_metrics) weighted_completion,
@@ -350,7 +350,7 @@ def insight_facts(spark: SparkSession, sf: str) -> DataFrame:
         kpis.monthly_headcount(sheets.workforce(spark, sf, nations=False), female="BUILDING"),
         kpis.review_metrics(sheets.reviews(spark, sf), done="F"),
         training.withColumn("year", F.col("year") + 1987),
-        quick.where("year <= 1997"),
+        quick.withColumn("year", F.col("year") + 90),
         kpis.cold_impact(prepare.training_cold(sheets.cold_sheet(spark, sf))),
         sheets.finance(spark, sf).withColumn("year", F.col("year") - 25),
         first_year=1998,
@@ -374,9 +374,7 @@ def _at_risk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _indicators(spark: SparkSession, sf: str) -> DataFrame:
-    # The medians read the employee table three times: it is written once, as in the report.
-    table = materialise(_at_risk(spark, sf), "employee")
-    return employee.training_measures(table, edges=SEGMENT_EDGES)
+    return employee.training_measures(_at_risk(spark, sf), edges=SEGMENT_EDGES)
 
 
 @query("integrated_employee", f"""
@@ -407,14 +405,14 @@ def employee_indicators(spark: SparkSession, sf: str) -> DataFrame:
 with joined as (
   select c_custkey, c_name, c_nationkey, c_mktsegment, n_events, total
   from customer left join (select user_id, count(*) n_events, sum(value) total from events
-                           where event_type = 'purchase' group by 1)
+                           group by 1)
   on c_custkey = user_id)
 select * from (""" + " union all ".join(
     f"""select '{c}' as "column", count(*) filter (where {c} is null) "Missing_Count",
         round_even(100.0 * count(*) filter (where {c} is null) / count(*), 2) "Missing_Pct" from joined"""
     for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "n_events", "total")) + ")")
 def data_quality(spark: SparkSession, sf: str) -> DataFrame:
-    facts = table(spark, sf, "events").where("event_type = 'purchase'").groupBy(F.col("user_id").alias("c_custkey"))
+    facts = table(spark, sf, "events").groupBy(F.col("user_id").alias("c_custkey"))
     facts = facts.agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total"))
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return stats.data_quality(joins.enrich(customers, [facts], "c_custkey"))
@@ -455,14 +453,13 @@ def training_bands_segment(spark: SparkSession, sf: str) -> DataFrame:
 with banded as (
   select o_orderkey, o_custkey, case when h <= -0.1 then null when h <= 0.1 then '0h' when h <= 7 then '0.1-7h'
          when h <= 20 then '7-20h' else '20h+' end band
-  from (select *, o_totalprice / 10000 - 1 h from orders where o_orderstatus = 'P'))
+  from (select *, o_totalprice / 10000 - 1 h from orders))
 select label band, count(distinct o_custkey) n
 from (select label from {BANDS} union all select null) left join banded on band is not distinct from label
 group by 1""")
 def band_null_kept(spark: SparkSession, sf: str) -> DataFrame:
-    pending = table(spark, sf, "orders").where("o_orderstatus = 'P'")
     hours = F.col("o_totalprice") / 10000 - 1
-    banded = pending.withColumn("band", S.band(hours, V.BAND_EDGES_KPI, V.BAND_LABELS))
+    banded = table(spark, sf, "orders").withColumn("band", S.band(hours, V.BAND_EDGES_KPI, V.BAND_LABELS))
     return grouping.group_complete(
         banded, "band", V.BAND_LABELS, {"n": F.count_distinct("o_custkey")}, zero=["n"], keep_null=True
     )

@@ -13,6 +13,8 @@ from crewlens.sources.readers import ROW
 
 STATUS_METRICS = dict(zip(("F", "O", "P"), V.PL_METRICS))
 FIRST_FINANCE_YEAR = 1995
+# The seven years of orders under the labels of the sheets.
+FINANCE_YEARS = [str(2022 + i) for i in range(7)]
 
 
 # Schemas of the tables in use. Stating them saves the footer-reading job of every scan.
@@ -170,7 +172,7 @@ def cold_sheet(spark: SparkSession, sf: str) -> DataFrame:
 def finance_sheets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Orders pivoted to the two wide sheets: amounts per status, heads per priority."""
     orders = table(spark, sf, "orders").withColumn("_y", F.year("o_orderdate"))
-    years = [FIRST_FINANCE_YEAR + i for i in range(len(V.FINANCE_YEARS))]
+    years = [FIRST_FINANCE_YEAR + i for i in range(len(FINANCE_YEARS))]
     money = F.col("o_totalprice").cast("decimal(18,2)")
     amount = F.when(F.col("o_orderstatus") == "F", money).otherwise(-money)
     names = F.create_map(*[F.lit(x) for pair in STATUS_METRICS.items() for x in pair])
@@ -185,4 +187,4 @@ def finance_sheets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def finance(spark: SparkSession, sf: str) -> DataFrame:
-    return prepare.finance(*finance_sheets(spark, sf))
+    return prepare.finance(*finance_sheets(spark, sf), years=FINANCE_YEARS)

@@ -132,7 +132,7 @@ def test_training_bands(tables, sql):
 
 def test_kpis_agree_with_their_tables(tables):
     kpi = {r.kpi: r.value for r in tables["kpi_summary"].collect()}
-    assert list(kpi) == [label for _, label, _, _ in V.KPI_ROWS]
+    assert list(kpi) == [label.format(year=2025) for _, label, _, _ in V.KPI_ROWS]
     last = tables["monthly_headcount"].collect()[-1]
     assert kpi["Latest monthly headcount"] == last.headcount
     assert kpi["Female representation"] == pytest.approx(last.female_share * 100, abs=0.0501)
@@ -195,6 +195,7 @@ def test_command_line(spark, folder, tmp_path):
 def test_sizing():
     small, large = sizing(10**9, 8), sizing(100 * 10**12, 4000)
     assert small == {"spark.sql.files.maxPartitionBytes": str(128 * MB), "spark.sql.shuffle.partitions": "8"}
+    assert sizing(10**15, 4000, 0.5)["spark.sql.shuffle.partitions"] == str(10**15 // 2 // (256 * MB))
     assert large == {"spark.sql.files.maxPartitionBytes": "625000000", "spark.sql.shuffle.partitions": "37252"}
 
 
@@ -326,3 +327,28 @@ def test_read_csv_infers_types(spark, tmp_path):
 def test_cold_survey_with_missing_questions(make):
     df = make("Matricule string, Date string, Status string", [("a", "1/1/2024", "Complétée")])
     assert values(prepare.training_cold(df).select("impact_answer_count", "impact_positive_rate")) == [(0, None)]
+
+
+def test_line_breaks_inside_cells(spark, tmp_path):
+    path = tmp_path / "sheet.csv"
+    path.write_text('a,b,c\n1,"x\ny",2\n3,z,4\n')
+    assert values(readers.read_table(spark, str(path), multi_line=True), "a") == [("1", "x\ny", "2"), ("3", "z", "4")]
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        readers.read_table(spark, str(path)).collect()
+
+
+def test_day_first_periods_are_kept(spark, make):
+    sheet = make(
+        f"`{V.ID_PRIMARY}` string, `{V.ID_BACKUP}` string, {V.PERIOD} string, {V.COUNTRY_LABEL} string, {V.GENDER_LABEL} string, "
+        f"{V.CONTRACT_LABEL} string, {V.ENTITY_LABEL} string, `{V.AGE_RANGE}` string",
+        [(str(i), None, d, None, None, None, None, None) for i, d in enumerate(("31/12/2025", "2025-12-31", "31.12.2025", "never"))],
+    )
+    assert [str(r.PERIOD) for r in prepare.workforce(sheet).collect()] == ["2025-12-31"] * 3
+
+
+def test_two_entry_dates_are_an_error(make):
+    df = make("DATE_ENTRY_GROUP string, DATE_ENTRY_FIRM string, Total_Absence_Days double", [("1990-01-01", "2020-01-01", 1.0)])
+    with pytest.raises(ValueError, match="entry date"):
+        employee.tenure_and_risk(df)
+    named = employee.tenure_and_risk(df, "DATE_ENTRY_FIRM", "2026-01-01").first()
+    assert 5.9 < named.Tenure_Years < 6.1
