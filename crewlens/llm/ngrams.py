@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.common import LAST, saved, texts_of
+from crewlens.llm.packing import packed, unpacked
 from crewlens.llm.texts import LOWER, Ranges, chunks, combine, words
 
 _U = np.uint64
@@ -215,7 +216,7 @@ class Bucket:
     """Different words and pairs of a bucket's texts, sorted, and where each token has them."""
 
     def __init__(self, texts: pa.ChunkedArray) -> None:
-        got = [tokens(buf, offsets) for _, _, buf, offsets in chunks(texts.combine_chunks())]
+        got = [tokens(buf, offsets) for _, _, buf, offsets in chunks(unpacked(texts))]
         none = np.zeros(0, _U)
         flat = np.concatenate([none, *[t for t, _ in got]])
         self.counts = np.concatenate([np.zeros(0, np.int64), *[c for _, c in got]])
@@ -316,6 +317,7 @@ def scores(docs: DataFrame, folds: int = 5, held: int = 1, mu: float = MU) -> Da
         "text",
     )
     hot = hot_words(texts, shards)
+    carried = packed(texts)
 
     def send(batch: pa.Table) -> pa.Table:
         own, origin = Bucket(batch.column("text")), batch.column("bucket")[0].as_py()
@@ -357,7 +359,7 @@ def scores(docs: DataFrame, folds: int = 5, held: int = 1, mu: float = MU) -> Da
                 out.append((origin, shard, PAIRS, trie.codes_of(a, b).tobytes()))
         return _rows(out)
 
-    sent = texts.groupBy("bucket").applyInArrow(send, PARCEL)
+    sent = carried.groupBy("bucket").applyInArrow(send, PARCEL)
     replies = saved(sent.groupBy("to").applyInArrow(answer, PARCEL))
     totals = replies.where(F.col("kind") == TOTALS).select("data").toArrow().column(0).to_pylist()
     all_, distinct = np.array([np.frombuffer(t, np.int64) for t in totals]).reshape(-1, 2).sum(axis=0).tolist()
@@ -393,6 +395,6 @@ def scores(docs: DataFrame, folds: int = 5, held: int = 1, mu: float = MU) -> Da
         )
 
     answers = replies.where(F.col("kind") != TOTALS).select(F.col("to").alias("bucket"), "origin", "kind", "data")
-    return answers.groupBy("bucket").cogroup(texts.groupBy("bucket")).applyInArrow(
+    return answers.groupBy("bucket").cogroup(carried.groupBy("bucket")).applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
