@@ -121,10 +121,13 @@ def document_frequencies(labelled: DataFrame) -> np.ndarray:
 def learn(labelled: DataFrame, idf: np.ndarray, per_language: int = PER_LANGUAGE) -> pd.DataFrame:
     """Centroids of every language: lang, centroid, radius; needs (doc_id, lang, text)."""
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    # One entry per language; as a scalar it reaches the scan, and no text is shuffled for it.
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = counts.agg(F.map_from_entries(F.collect_list(F.struct("lang", "n")))).scalar()
     # Half as many again as needed by hash, then the exact number; a small language is taken whole.
-    share = F.xxhash64("doc_id") / F.lit(float(1 << 63)) < F.lit(3.0) * per_language / F.col("n") - 1
-    sample = labelled.join(counts, "lang").where(share).withColumn("rank", rank).where(F.col("rank") <= per_language)
+    share = F.xxhash64("doc_id") / F.lit(float(1 << 63)) < F.lit(3.0) * per_language / F.element_at("sizes", F.col("lang")) - 1
+    drawn = labelled.withColumn("sizes", sizes).where(share).drop("sizes")
+    sample = drawn.withColumn("rank", rank).where(F.col("rank") <= per_language)
 
     def fit(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         texts = pa.array(frame.sort_values("doc_id", kind="stable")["text"].tolist(), pa.large_string())
