@@ -20,12 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crewlens.llm.common import WORD, ranged, row_key, running_sums
+from crewlens.llm.common import WORD, ranged, row_key, running_sums, saved
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
-OFFSET_STEPS = 1 << 16
+SEED = 17
 
 
 def size_of(text: str) -> Column:
@@ -45,39 +45,25 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
         "source", "source_size", weight.alias("weight"), (F.col("source_size") * most).cast("double").alias("ceiling")
     ).withColumn("level", F.col("ceiling") / F.col("weight"))
     summed = running_sums(filled, [F.col("level"), F.col("source").asc_nulls_last()], ["ceiling", "weight"])
-    whole = sizes.agg((F.sum("source_size") * share).alias("budget"))
-    weighed = filled.agg(F.sum("weight").alias("all_weight"))
-    at = (F.col("budget") - F.col("ceiling_before")) / (F.col("all_weight") - F.col("weight_before"))
-    tag = F.lit(1).alias("k")
-    # Both one-row totals are joined by a constant key; the sources are few against the rows.
-    level = (
-        summed.select("*", tag)
-        .join(whole.select("*", tag), "k")
-        .join(weighed.select("*", tag), "k")
-        .withColumn("at", at)
-        .where("at <= level")
-        .agg(F.min_by("at", "level").alias("common"))
-    )
-    return (
-        filled.select("*", tag)
-        .join(level.select("*", tag), "k")
-        .select(
-            "source",
-            "source_size",
-            F.when(F.col("common").isNull(), F.col("ceiling"))
-            .otherwise(F.least(F.col("ceiling"), F.col("common") * F.col("weight")))
-            .alias("target"),
-        )
+    budget = sizes.agg(F.sum("source_size") * share).scalar()
+    weighed = filled.agg(F.sum("weight")).scalar()
+    at = (budget - F.col("ceiling_before")) / (weighed - F.col("weight_before"))
+    common = summed.withColumn("at", at).where("at <= level").agg(F.min_by("at", "level")).scalar()
+    below = filled.withColumn("common", common)
+    full = F.least(F.col("ceiling"), F.col("common") * F.col("weight"))
+    return below.select(
+        "source", "source_size", F.when(F.col("common").isNull(), F.col("ceiling")).otherwise(full).alias("target")
     )
 
 
 def counted(
-    rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 17
+    rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED
 ) -> DataFrame:
     """Copies of every row of (doc_id, source, size, ...): adds source_size, target, copies."""
     part = "__range"
     order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), *[F.col(c) for c in rows.columns if c == "key"]]
-    dealt = ranged(rows, order, part)
+    # Written first: dealing rows to ranges reads them twice.
+    dealt = ranged(saved(rows), order, part)
     totals = dealt.groupBy(part, "source").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
     ahead = Window.partitionBy("source").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(part, "source", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
@@ -88,7 +74,9 @@ def counted(
         "at", F.row_number().over(Window.partitionBy(part, "source").orderBy(*order))
     )
     rate = F.col("target") / F.col("source_size")
-    offset = F.pmod(F.xxhash64(F.col("s"), F.lit(seed)), F.lit(OFFSET_STEPS)) / OFFSET_STEPS
+    # Four digits of a digest: a fraction of 16 bits, exact in every later sum.
+    drawn = F.substring(F.md5(F.concat(F.coalesce("s", F.lit("")), F.lit(str(seed)))), 1, 4)
+    offset = F.conv(drawn, 16, 10).cast("double") / F.lit(65536.0)
     joined = own.join(
         placed.withColumnRenamed("source", "s").withColumnRenamed(part, "p"),
         (F.col(part) == F.col("p")) & F.col("source").eqNullSafe(F.col("s")),
