@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.common import SPACES, WORD, row_key, saved
+from crewlens.operators.lookup import join_group_facts
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -105,12 +106,10 @@ def hosts(judged: DataFrame) -> DataFrame:
     strength = F.when(
         spread > 0, F.greatest(F.lit(1.0), F.least(F.lit(STRONGEST), F.col("mean") * (1 - F.col("mean")) / spread - 1))
     ).otherwise(F.lit(STRONGEST))
-    prior = moments.select((F.col("mean") * strength).alias("a"), ((1 - F.col("mean")) * strength).alias("b"), F.lit(1).alias("k"))
-    shrunk = (F.col("fails") + F.col("a")) / (F.col("n") + F.col("a") + F.col("b"))
-    return (
-        counts.withColumn("k", F.lit(1))
-        .join(prior, "k")
-        .select(F.col("source").alias("host"), "n", "fails", shrunk.alias("rate"), (shrunk > HOST_RATE).alias("rejected"))
+    prior = moments.select(F.struct((F.col("mean") * strength).alias("a"), ((1 - F.col("mean")) * strength).alias("b"))).scalar()
+    shrunk = (F.col("fails") + F.col("prior.a")) / (F.col("n") + F.col("prior.a") + F.col("prior.b"))
+    return counts.withColumn("prior", prior).select(
+        F.col("source").alias("host"), "n", "fails", shrunk.alias("rate"), (shrunk > HOST_RATE).alias("rejected")
     )
 
 
@@ -124,8 +123,9 @@ def verdicts(docs: DataFrame, *keys: str) -> DataFrame:
             "failed", F.size("failed_rules") > 0
         )
     )
-    by_host = hosts(judged).select("host", F.col("rate").alias("host_rate"), "rejected")
-    return judged.join(by_host, judged["source"] == by_host["host"], "left").select(
+    by_host = hosts(judged).select(F.col("host").alias("source"), F.col("rate").alias("host_rate"), "rejected")
+    # Salted, so that a host with a third of all documents is spread.
+    return join_group_facts(judged, by_host, "source", "left", keys).select(
         *keys,
         *MEASURES,
         "base_failed",
