@@ -21,6 +21,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def partial_components(edges: DataFrame) -> DataFrame:
+    """node, root after one round: equal roots are connected, but a component may still have
+    several."""
+    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = saved(_star(saved(_star(saved(now), True)), False))
+    return saved(now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node of its component, for every node of an edge (a, b).
 
@@ -34,6 +42,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
-        now = saved(_star(_star(now, True), False))
+        now = saved(_star(saved(_star(now, True)), False))
     roots = now.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

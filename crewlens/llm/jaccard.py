@@ -9,13 +9,13 @@ are one list.
 
 The lists are then worked off. Two rounds compare every class with one pivot of its lists, which
 links nearly all that is alike with few comparisons; classes that are linked already need no
-more. The rest is compared pair by pair, once for the first list that two classes share, if size
-and position allow it and they are not linked yet. Each comparison is exact, on the whole texts.
+more. The rest is compared pair by pair, once for the first list that two classes share, if size,
+position and parity maps allow it and they are not linked yet. Each comparison is exact, on the
+whole texts.
 
-The order needs only be the same everywhere. Frequent shingles come last: those with at least
-``1 / FREQUENT`` of all, of which there can be no more than ``FREQUENT``, so their table has a
-proven size of 16 MB. They are found by counting, in each batch, those that reach that share
-there; a shingle of that share in all reaches it in some batch.
+The order needs only be the same everywhere. The ``FREQUENT`` most frequent shingles come last,
+by their number, so that their table has a proven size of 16 MB. Shingles are counted in every
+batch in which they are repeated; the cut is the lowest count that keeps the table in bounds.
 
 Nulls and edges: a null or blank text has no shingles and is linked with nothing; a text with
 fewer words than a shingle has one, its whole sequence. A null doc_id comes last and shows as
@@ -24,24 +24,33 @@ null. Rows that repeat a doc_id stand for themselves. Shingles are told apart by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.common import LAST, saved, texts_of
-from crewlens.llm.graph import components
+from crewlens.llm.graph import components, partial_components
+from crewlens.llm.packing import packed, unpacked
 from crewlens.llm.texts import LOWER, Ranges, chunks, combine, mix, words
 
 WORDS = 5
 PERCENT = 75
 FREQUENT = 1 << 20
 PIVOT_ROUNDS = 2
+#: Bits of a set's parity map: bit i tells whether an odd number of its shingles hash to i. The
+#: maps of two sets differ in no more bits than the sets differ in shingles.
+BITS = 1024
 SPREAD = 2
 _U = np.uint64
 TOKEN = np.dtype([("token", "u8"), ("group", "u8"), ("n", "u4"), ("pos", "u4")])
+#: Bits of a token that travel, besides those that name its bucket. Two tokens that agree in them
+#: only make a longer list.
+KEPT = _U(24)
 MEMBER = np.dtype([("group", "u8"), ("cid", "u8"), ("n", "u4")])
 TOKENS, MEMBERS = 0, 1
 PARCEL = "bucket int, kind int, data binary"
@@ -83,26 +92,63 @@ def set_id(made: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return combine(_sums(mix(made), counts), _sums(mix(made + _U(0x5851F42D4C957F2D)), counts), counts.astype(_U))
 
 
+def parity(made: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Parity maps, one row of 64-bit words per text."""
+    text = np.repeat(np.arange(len(counts)), counts)
+    at = text * BITS + (mix(made) % _U(BITS)).astype(np.int64)
+    odd = np.bincount(at, minlength=len(counts) * BITS).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(len(counts), BITS), axis=1, bitorder="little").view(np.int64)
+
+
 def _needed(n: Column | int, m: Column | int, percent: int) -> Column:
     """Least intersection of two similar sets of these sizes."""
     return F.ceil(percent * (n + m) / (100 + percent))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, so that they compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def _from_planes(raw: np.ndarray, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
+
+
+def write_tokens(rows: np.ndarray) -> bytes:
+    """Tokens of one bucket: five bytes of each and the group as they are, size and place packed."""
+    token = _planes(rows["token"] >> KEPT)[: 5 * len(rows)]
+    packed = zstandard.compress(_planes(rows["n"].copy()) + _planes(rows["pos"].copy()), 1)
+    return np.array([len(rows)], np.int64).tobytes() + token + rows["group"].tobytes() + packed
+
+
+def read_tokens(raw: bytes) -> np.ndarray:
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    out = np.zeros(n, TOKEN)
+    planes = np.concatenate([np.frombuffer(raw, np.uint8, 5 * n, 8), np.zeros(3 * n, np.uint8)])
+    out["token"] = _from_planes(planes, "<u8") if n else 0
+    out["group"] = np.frombuffer(raw, _U, n, 8 + 5 * n)
+    rest = np.frombuffer(zstandard.decompress(raw[8 + 13 * n :]), np.uint8)
+    out["n"], out["pos"] = (_from_planes(rest[a : a + 4 * n], "<u4") if n else 0 for a in (0, 4 * n))
+    return out
+
+
 def census(texts: DataFrame, k: int = WORDS) -> DataFrame:
-    """Per document: doc, tid, n, cid (its set); besides, locally frequent shingles as kind 1."""
+    """Per document: doc, tid, n, cid (its set), bits (its parity map); besides, shingles repeated in a batch as kind 1."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, seen = [], [], []
+            ids, sizes, seen, maps = [], [], [], []
             for _, _, buf, offsets in chunks(batch.column("text")):
                 made, counts = shingles(buf, offsets, k)
                 ids.append(set_id(made, counts))
                 sizes.append(counts)
                 seen.append(made)
+                maps.append(parity(made, counts))
             if not ids:
                 continue
             token, times = np.unique(np.concatenate(seen), return_counts=True)
-            often = times >= max(2, -(-int(times.sum()) // FREQUENT))
+            often = times > 1
             rows = len(batch), int(often.sum())
             zeros = np.zeros(rows[1], np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -112,18 +158,28 @@ def census(texts: DataFrame, k: int = WORDS) -> DataFrame:
                     pa.array(np.concatenate([batch.column("tid").to_numpy(), zeros])),
                     pa.array(np.concatenate([np.concatenate(sizes), times[often]]).astype(np.int64)),
                     pa.array(np.concatenate([np.concatenate(ids), token[often]]).astype(np.int64)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.append(np.arange(rows[0] + 1), np.full(rows[1], rows[0])).astype(np.int32) * (BITS // 64)),
+                        pa.array(np.concatenate(maps).ravel()),
+                    ),
                 ],
-                ["kind", "doc", "tid", "n", "cid"],
+                ["kind", "doc", "tid", "n", "cid", "bits"],
             )
 
-    return texts.mapInArrow(count, "kind int, doc long, tid long, n long, cid long")
+    return texts.mapInArrow(count, "kind int, doc long, tid long, n long, cid long, bits array<long>")
 
 
 def frequent(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles and the binary logarithm of their counts; at most ``FREQUENT``."""
-    all_ = counted.where("kind = 0").agg(F.sum("n")).first()[0] or 0
-    sums = counted.where("kind = 1").groupBy("cid").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, all_ / FREQUENT))
-    found = sums.select("cid", F.floor(F.log2("n")).cast("long").alias("level")).toArrow()
+    """Frequent shingles and the levels of their counts; at most ``FREQUENT`` of them."""
+    level = F.floor(4 * F.log2("n")).cast("long").alias("level")
+    sums = saved(counted.where("kind = 1").groupBy("cid").agg(F.sum("n").alias("n")).select("cid", level))
+    least, room = 1 << 62, FREQUENT
+    # One row per level; whole levels only, so that no choice among equals is needed.
+    for r in sorted(sums.groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True):
+        if r["n"] > room:
+            break
+        least, room = r["level"], room - r["n"]
+    found = sums.where(F.col("level") >= least).toArrow()
     token = found.column("cid").to_numpy().astype(_U)
     order = np.argsort(token)
     return token[order], found.column("level").to_numpy()[order]
@@ -148,12 +204,14 @@ def lists(texts: DataFrame, often: tuple[np.ndarray, np.ndarray], buckets: int,
     classes (kind 1: group, cid, n)."""
     shared = texts.sparkSession.sparkContext.broadcast(often)
 
-    def parcels(rows: np.ndarray, by: np.ndarray, kind: int) -> list[tuple[int, int, bytes]]:
+    def parcels(rows: np.ndarray, by: np.ndarray, kind: int, write: Callable[[np.ndarray], bytes]) -> list[tuple[int, int, bytes]]:
+        if not len(rows):
+            return []
         bucket = (by % _U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         rows, bucket = rows[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        return [(int(bucket[a]), kind, rows[a:b].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(rows)], strict=True)]
+        return [(int(bucket[a]), kind, write(rows[a:b])) for a, b in zip(cuts, [*cuts[1:], len(rows)], strict=True)]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, level = shared.value
@@ -175,12 +233,12 @@ def lists(texts: DataFrame, often: tuple[np.ndarray, np.ndarray], buckets: int,
             order = np.lexsort((rows["group"], rows["token"]))
             rows = rows[order]
             rows = rows[np.append(True, (rows["token"][1:] != rows["token"][:-1]) | (rows["group"][1:] != rows["group"][:-1]))[: len(rows)]]
-            out = parcels(rows, rows["token"], TOKENS) + parcels(members, members["group"], MEMBERS)
+            out = parcels(rows, rows["token"], TOKENS, write_tokens) + parcels(members, members["group"], MEMBERS, np.ndarray.tobytes)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else ((), (), ()), _parcel.types, strict=True)], schema=_parcel)
 
     def compare(got: pa.Table) -> pa.Table:
         kinds, data = got.column("kind").to_numpy(), got.column("data")
-        rows = np.concatenate([np.zeros(0, TOKEN), *[np.frombuffer(data[i].as_py(), TOKEN) for i in np.flatnonzero(kinds == TOKENS)]])
+        rows = np.concatenate([np.zeros(0, TOKEN), *[read_tokens(data[i].as_py()) for i in np.flatnonzero(kinds == TOKENS)]])
         members = np.unique(np.concatenate([np.zeros(0, MEMBER), *[np.frombuffer(data[i].as_py(), MEMBER) for i in np.flatnonzero(kinds == MEMBERS)]]))
         # Tokens of one group only are dropped first; they are most.
         rows = rows[np.lexsort((rows["group"], rows["n"], rows["token"]))]
@@ -238,8 +296,17 @@ def _possible(a: str, b: str, percent: int) -> Column:
     )
 
 
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether the parity maps of two classes let them be similar."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = F.aggregate(
+        F.zip_with(f"{a}.bits", f"{b}.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda all_, x: all_ + x
+    )
+    return apart <= n + m - 2 * _needed(n, m, percent)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b, linked: exact comparison of the classes' texts (cid, text)."""
+    """a, b, linked: exact comparison of the classes' texts (cid, packed)."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +315,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
             def of(side: str, i: int, batch: pa.RecordBatch = batch, sets: dict[int, np.ndarray] = sets) -> np.ndarray:
                 cid = batch.column(side)[i].as_py()
                 if cid not in sets:
-                    text = pa.array([batch.column(f"text_{side}")[i].as_py()], pa.large_string())
+                    text = unpacked(batch.column(f"text_{side}").slice(i, 1))
                     sets[cid] = next(shingles(buf, offsets, k)[0] for _, _, buf, offsets in chunks(text))
                 return sets[cid]
 
@@ -259,8 +326,8 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("cid").alias("a"), F.col("packed").alias("text_a"))
+    right = texts.select(F.col("cid").alias("b"), F.col("packed").alias("text_b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long, linked boolean")
 
 
@@ -286,9 +353,21 @@ def links(texts: DataFrame, counted: DataFrame, buckets: int, k: int = WORDS, pe
     open_ = saved(members(listed))
     wanted = open_.select("cid").distinct()
     one = counted.where("kind = 0").join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min(F.struct("doc", "tid")).alias("d"))
-    class_texts = saved(
-        texts.join(one.select("cid", "d.doc", "d.tid"), ["doc", "tid"]).select("cid", "text").dropDuplicates(["cid"])
-    )
+    carried = packed(texts).join(one.select("cid", "d.doc", "d.tid"), ["doc", "tid"])
+    chosen = carried.groupBy("cid").agg(F.any_value("text").alias("packed"))
+    # Each round reads the texts by class: bucketed by it, they are shuffled only once.
+    name = f"jaccard_texts_{uuid.uuid4().hex}"
+    spark = texts.sparkSession
+    try:
+        chosen.write.bucketBy(buckets // SPREAD, "cid").sortBy("cid").saveAsTable(name)
+        maps = counted.where("kind = 0").join(wanted, "cid", "left_semi").groupBy("cid").agg(F.any_value("bits").alias("bits"))
+        return _linked(open_, spark.table(name), maps, k, percent)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _linked(open_: DataFrame, class_texts: DataFrame, maps: DataFrame, k: int, percent: int) -> DataFrame:
+    """node, root: the lists worked off in rounds; maps hold (cid, bits)."""
     known: DataFrame | None = None
     roots: DataFrame | None = None
     for turn in range(PIVOT_ROUNDS + 1):
@@ -304,13 +383,14 @@ def links(texts: DataFrame, counted: DataFrame, buckets: int, k: int = WORDS, pe
             # Each pair once: at the first list that both are in, by the order of the smaller id.
             now = saved(now)
             own = now.groupBy("cid").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "lid"))), lambda s: s["lid"]).alias("lids"))
-            full = now.join(own, "cid")
+            full = now.join(own, "cid").join(maps, "cid")
             pairs = full.alias("x").join(
                 full.alias("y"),
                 (F.col("x.lid") == F.col("y.lid"))
                 & (F.col("x.cid") < F.col("y.cid"))
                 & (F.col("x.label") != F.col("y.label"))
                 & _possible("x", "y", percent)
+                & _near("x", "y", percent)
                 & (F.get(F.array_intersect("x.lids", "y.lids"), F.lit(0)) == F.col("x.lid")),
             )
         fresh = _ordered(pairs)
@@ -318,7 +398,9 @@ def links(texts: DataFrame, counted: DataFrame, buckets: int, k: int = WORDS, pe
             fresh = fresh.join(known, ["a", "b"], "left_anti")
         done = saved(verified(fresh, class_texts, k, percent))
         known = done if known is None else known.unionByName(done)
-        roots = components(known.where("linked").select("a", "b"))
+        found = known.where("linked").select("a", "b")
+        # Between the rounds it is enough to know most of what hangs together.
+        roots = partial_components(found) if turn < PIVOT_ROUNDS else components(found)
     return roots
 
 
@@ -328,7 +410,7 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     counted = saved(census(texts, k))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * SPREAD
     roots = links(texts, counted, buckets, k, percent)
-    rows = counted.where("kind = 0").drop("kind")
+    rows = counted.where("kind = 0").select("doc", "tid", "n", "cid")
     classes = rows.where("n > 0").groupBy("cid").agg(F.min("doc").alias("least"))
     rooted = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component"))
