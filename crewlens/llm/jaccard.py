@@ -405,7 +405,7 @@ def _linked(open_: DataFrame, class_texts: DataFrame, maps: DataFrame, k: int, p
 
 
 def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc, tid, n, and the smallest doc of the component, per document."""
+    """doc, tid, n, the class at the root of the component, and its smallest doc, per document."""
     texts = texts_of(docs)
     counted = saved(census(texts, k))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * SPREAD
@@ -414,9 +414,9 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     classes = rows.where("n > 0").groupBy("cid").agg(F.min("doc").alias("least"))
     rooted = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = saved(rooted.join(whole, "root").select(F.col("cid").alias("c"), "component"))
+    named = saved(rooted.join(whole, "root").select(F.col("cid").alias("c"), "root", "component"))
     return rows.join(named, (F.col("cid") == F.col("c")) & (F.col("n") > 0), "left").select(
-        "doc", "tid", "n", F.coalesce("component", "doc").alias("component")
+        "doc", "tid", "n", "root", F.coalesce("component", "doc").alias("component")
     )
 
 
@@ -429,9 +429,12 @@ def similar(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFram
 
 
 def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents without those linked to another of smaller doc_id; the columns stay."""
+    """The documents without those linked to another of smaller doc_id; the columns stay.
+
+    Groups go by their class, as several may have the same smallest doc_id, or only null ones.
+    """
     found = _components(docs, k, percent)
-    first = found.where("n > 0").groupBy("component").agg(F.min(F.struct("doc", "tid")).alias("d")).select("d.doc", "d.tid")
+    first = found.where("n > 0").groupBy("root").agg(F.min(F.struct("doc", "tid")).alias("d")).select("d.doc", "d.tid")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.coalesce("text", F.lit(""))
     held = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tid"), text.rlike(r"[^\x20\x09-\x0D]").alias("worded"), row)

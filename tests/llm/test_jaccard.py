@@ -75,6 +75,15 @@ def test_one_of_each_group_stays(make):
     assert sorted(r.doc_id for r in kept.collect()) == sorted([*want, 2_000_000, 2_000_001, 2_000_001])
 
 
+def test_null_and_repeated_ids_stay_unless_linked(make):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "one text of its own words here"), (None, "a second text that is like no other"), (None, "the third of the unlinked texts")]
+    rows += [(7, "an id that stands on this text"), (7, "and again on quite another one")]
+    rows += [(None, near), (None, near + " end"), (9, near + " stop"), (None, "a copy twice over in here"), (None, "a copy twice over in here")]
+    kept = jaccard.keep_one(make(SCHEMA, rows).repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(d), t) for d, t in [*rows[:5], rows[7], rows[8]])
+
+
 def test_components(make):
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
