@@ -4,7 +4,8 @@ Rules name a host and the start of a path; the longest rule that fits decides. W
 the host's place in the link graph does: trust starts at hosts with an allowed page and follows
 links, distrust starts at hosts with a blocked page and runs against them, both as personalised
 PageRank over host edges. A host is blocked if distrust makes up more than ``MOST_DISTRUST`` of
-the two.
+the two. Scores are handed on until none grows by more than ``TOLERANCE`` of itself; a host that
+is reached for the first time grows by all of its score, so every host within reach gets one.
 
 Nulls and edges: a null url, or one without ``://``, has an empty host and path, no rule and no
 place in the graph, so it is allowed; a null page text has no links. Hosts that no seed reaches are allowed.
@@ -29,6 +30,11 @@ RULES = (
     (BLOCK, "net/fr/"),
 )
 DAMPING = 0.85
+#: Growth of a score over ``CUT`` hops, as a share of it, at which it counts as final.
+TOLERANCE = 1e-9
+#: Hops between two writes.
+CUT = 3
+#: Hops that the SQL writes out; the operator has no such end.
 ROUNDS = 8
 MOST_DISTRUST = 0.5
 LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]+)"
@@ -87,23 +93,29 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank of (kind, host): seeds hold (kind, host), edges (kind, src, dst, links).
 
     Every seed starts with 1. A host hands ``damping`` of its score on along its edges by weight.
+    Scores only grow; what is still on its way at the end is at most ``tolerance`` of a host's
+    score, times the number of hops that lead to it.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("links").alias("all"))
     steps = saved(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("all")).alias("part")))
-    start = seeds.distinct().withColumn("score", F.lit(1 - damping))
+    none = F.lit(0.0)
+    start = saved(seeds.distinct().select("kind", "host", F.lit(1 - damping).alias("score"), none.alias("before")))
     ranks = start
-    for n in range(rounds):
-        handed = ranks.withColumnRenamed("host", "src").join(steps, ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("score") * F.col("part") * damping).alias("score")
-        )
-        ranks = handed.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if n % 3 == 2:
-            ranks = saved(ranks)
-    return ranks
+    while True:
+        now = ranks
+        for _ in range(CUT):
+            handed = now.withColumnRenamed("host", "src").join(steps, ["kind", "src"]).select(
+                "kind", F.col("dst").alias("host"), (F.col("score") * F.col("part") * damping).alias("score"), none.alias("before")
+            )
+            now = handed.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("before").alias("before"))
+        old = ranks.select("kind", "host", none.alias("score"), F.col("score").alias("before"))
+        ranks = saved(now.unionByName(old).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("before").alias("before")))
+        if not ranks.agg(F.bool_or(F.col("score") - F.col("before") > tolerance * F.col("score"))).first()[0]:
+            return ranks.select("kind", "host", "score")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, threshold: float = MOST_DISTRUST) -> DataFrame:

@@ -82,6 +82,32 @@ def test_trust_and_distrust_spread_over_links(make):
         assert r.trust == pytest.approx(trust.get(r.host, 0))
 
 
+def test_far_hosts_and_cycles_get_their_whole_score(make):
+    # A chain of 24 hosts to a blocked one, a late flip at its tenth, and a cycle that is trusted.
+    out = {f"h{i}.org": [f"h{i - 1}.org" if i > 1 else "bad.net"] for i in range(1, 25)}
+    out |= {"good.com": ["h10.org", "ring0.org", *[f"x{i}.org" for i in range(8)]]}
+    out |= {f"ring{i}.org": [f"ring{(i + 1) % 3}.org"] for i in range(3)}
+    rows = [(i, f"http://{h}/", link(*to)) for i, (h, to) in enumerate(out.items())] + [(99, "http://bad.net/es/", None)]
+    got = {r.host: r for r in urls.judge(make(SCHEMA, rows).repartition(4)).collect()}
+    edges = [(s, d, 1 / len(to)) for s, to in out.items() for d in to]
+    back = [(d, s, 1 / sum(d in to for to in out.values())) for s, to in out.items() for d in to]
+
+    def whole(edges, seed):
+        score = {seed: 0.15}
+        for _ in range(400):
+            new = {seed: 0.15}
+            for s, d, part in edges:
+                new[d] = new.get(d, 0) + 0.85 * part * score.get(s, 0)
+            score = new
+        return score
+
+    trust, distrust = whole(edges, "good.com"), whole(back, "bad.net")
+    for h, r in got.items():
+        assert r.trust == pytest.approx(trust.get(h, 0), rel=1e-7) and r.distrust == pytest.approx(distrust.get(h, 0), rel=1e-7)
+    assert all(got[f"h{i}.org"].verdict == "block" for i in range(10, 25))
+    assert got["h24.org"].distrust > 0 and got["ring1.org"].verdict == "allow"
+
+
 def test_empty_repeated_and_clashing(make):
     assert urls.judge(make(SCHEMA, [])).collect() == []
     rows = [(1, "http://x.org/", link("y.org"))] * 3
