@@ -13,6 +13,9 @@ more. The rest is compared pair by pair, once for the first list that two classe
 position and parity maps allow it and they are not linked yet. Each comparison is exact, on the
 whole texts.
 
+That gives the components. All links lie within them, so ``linked`` then compares the classes of
+each component with each other, block by block, for the number of links of every document.
+
 The order needs only be the same everywhere. The ``FREQUENT`` most frequent shingles come last,
 by their number, so that their table has a proven size of 16 MB. Shingles are counted in every
 batch in which they are repeated; the cut is the lowest count that keeps the table in bounds.
@@ -24,6 +27,7 @@ null. Rows that repeat a doc_id stand for themselves. Shingles are told apart by
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -46,6 +50,9 @@ PIVOT_ROUNDS = 2
 #: maps of two sets differ in no more bits than the sets differ in shingles.
 BITS = 1024
 SPREAD = 2
+#: Shingles of a block of classes that are compared with those of another in one place.
+BLOCK = 1 << 17
+SALTS = 16
 _U = np.uint64
 TOKEN = np.dtype([("token", "u8"), ("group", "u8"), ("n", "u4"), ("pos", "u4")])
 #: Bits of a token that travel, besides those that name its bucket. Two tokens that agree in them
@@ -347,8 +354,99 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def links(texts: DataFrame, counted: DataFrame, buckets: int, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """node, root over the classes that are linked."""
+def _count(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """cid, links of the classes of one meeting after another; rows (key, side, cid, docs, packed) by key."""
+
+    def compared(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+        got = pa.Table.from_batches(held)
+        cid, docs, side = (got.column(c).to_numpy() for c in ("cid", "docs", "side"))
+        links_ = np.zeros(len(cid), np.int64)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        if len(cid) < 2 or not len(left) or not len(right):
+            return cid, links_
+        found = [shingles(buf, offsets, k) for _, _, buf, offsets in chunks(unpacked(got.column("packed")))]
+        count = np.concatenate([c for _, c in found])
+        token = np.unique(np.concatenate([m for m, _ in found]), return_inverse=True)[1]
+        start = np.cumsum(count) - count
+        theirs = token[np.repeat(side != 0, count)]
+        first, many, weight = np.cumsum(count[right]) - count[right], count[right], docs[right]
+        mark = np.zeros(int(token.max()) + 1, np.int32)
+        for x in left.tolist():
+            own = token[start[x] : start[x] + count[x]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[theirs], first)
+            mark[own] = 0
+            linked_ = (100 * both >= percent * (count[x] + many - both)) & (right != x)
+            links_[x] += weight[linked_].sum()
+            if side[x] == 0:
+                links_[right[linked_]] += docs[x]
+        return cid, links_
+
+    held: list[pa.RecordBatch] = []
+    last = None
+
+    def batch_of(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["cid", "links"])
+
+    for batch in batches:
+        key, out = batch.column("key").to_numpy(), []
+        for a, b in zip([0, *(cuts := np.flatnonzero(np.diff(key)) + 1)], [*cuts, len(key)], strict=True):
+            if held and a < b and key[a] != last:
+                out.append(compared(held))
+                held.clear()
+            if a < b:
+                held.append(batch.slice(a, b - a))
+                last = key[a]
+        if out:
+            yield batch_of(out)
+    if held:
+        yield batch_of([compared(held)])
+
+
+def link_counts(roots: DataFrame, sizes: DataFrame, class_texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """cid, links: the documents of other classes that a class is linked to; sizes hold (cid, n, docs).
+
+    A large component is cut by size, so that a class is linked only within its level and the
+    next ones, and each level into blocks of about ``BLOCK`` shingles. Every two blocks that may
+    be linked meet in one place, and all their pairs are compared there. Rows that travel grow
+    with the classes times the blocks of a component, comparisons with the square of its classes.
+    """
+    # A little wider than the threshold, so that rounding does not part two levels.
+    level = F.floor(F.log("n") / math.log(100.1 / percent)).cast("int").alias("level")
+    of = saved(roots.withColumnRenamed("node", "cid").join(sizes, "cid").select("root", "cid", "n", "docs", level))
+    room = of.groupBy("root", "level").agg(F.sum("n").alias("n"))
+    entries = F.collect_list(F.struct("level", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    large = room.groupBy("root").agg(F.sum("n").alias("all"), F.map_from_entries(entries).alias("blocks")).where(F.col("all") > BLOCK)
+    salted = large.select("root", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    named = of.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")).join(salted, ["root", "salt"], "left")
+    placed = named.selectExpr(
+        "root",
+        "cid",
+        "docs",
+        "IF(blocks IS NULL, 0, level) AS level",
+        "COALESCE(try_element_at(blocks, level), 1) AS own",
+        "try_element_at(blocks, level - 1) AS lower",
+        "try_element_at(blocks, level + 1) AS upper",
+    ).selectExpr("*", "CAST(PMOD(xxhash64(cid, 1), own) AS INT) AS block")
+    pairs = F.expr("""flatten(array_compact(array(
+        transform(sequence(0, own - 1), o -> struct(level AS p, least(block, o) AS i, level AS q, greatest(block, o) AS j)),
+        transform(sequence(0, lower - 1), o -> struct(level - 1 AS p, o AS i, level AS q, block AS j)),
+        transform(sequence(0, upper - 1), o -> struct(level AS p, block AS i, level + 1 AS q, o AS j)))))""")
+    met = placed.select("root", "cid", "docs", "level", "block", F.explode(pairs).alias("m")).selectExpr(
+        "xxhash64(root, m.p, m.i, m.q, m.j) AS key",
+        "CASE WHEN m.p = m.q AND m.i = m.j THEN 2 WHEN level = m.p AND block = m.i THEN 0 ELSE 1 END AS side",
+        "cid",
+        "docs",
+    )
+    sent = met.join(class_texts.select("cid", "packed"), "cid").select("key", "side", "cid", "docs", "packed")
+    counts = sent.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _count(batches, k, percent), "cid long, links long")
+    return counts.groupBy("cid").agg(F.sum("links").alias("links"))
+
+
+def links(
+    texts: DataFrame, counted: DataFrame, buckets: int, k: int = WORDS, percent: int = PERCENT, sizes: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """node, root over the classes that are linked; and their number of links, if ``sizes`` are given."""
     listed = saved(lists(texts, frequent(counted), buckets, k, percent))
     open_ = saved(members(listed))
     wanted = open_.select("cid").distinct()
@@ -361,7 +459,8 @@ def links(texts: DataFrame, counted: DataFrame, buckets: int, k: int = WORDS, pe
     try:
         chosen.write.bucketBy(buckets // SPREAD, "cid").sortBy("cid").saveAsTable(name)
         maps = counted.where("kind = 0").join(wanted, "cid", "left_semi").groupBy("cid").agg(F.any_value("bits").alias("bits"))
-        return _linked(open_, spark.table(name), maps, k, percent)
+        roots = _linked(open_, spark.table(name), maps, k, percent)
+        return roots, sizes if sizes is None else saved(link_counts(roots, sizes, spark.table(name), k, percent))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -404,28 +503,43 @@ def _linked(open_: DataFrame, class_texts: DataFrame, maps: DataFrame, k: int, p
     return roots
 
 
-def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc, tid, n, the class at the root of the component, and its smallest doc, per document."""
+def _components(docs: DataFrame, k: int, percent: int, count: bool = False) -> DataFrame:
+    """doc, tid, n, the class at the root of the component, and its smallest doc, per document; if
+    asked for, n_links too."""
     texts = texts_of(docs)
     counted = saved(census(texts, k))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * SPREAD
-    roots = links(texts, counted, buckets, k, percent)
     rows = counted.where("kind = 0").select("doc", "tid", "n", "cid")
-    classes = rows.where("n > 0").groupBy("cid").agg(F.min("doc").alias("least"))
-    rooted = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
+    classes = rows.where("n > 0").groupBy("cid").agg(F.min("doc").alias("least"), F.max("n").alias("n"), F.count("*").alias("docs"))
+    roots, per = links(texts, counted, buckets, k, percent, classes.select("cid", "n", "docs") if count else None)
+    rooted = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "least", "docs", F.coalesce("root", "cid").alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = saved(rooted.join(whole, "root").select(F.col("cid").alias("c"), "root", "component"))
+    own = rooted.join(whole, "root")
+    if per is not None:
+        own = own.join(per, "cid", "left").withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("docs") - 1)
+    added = ["n_links"] if count else []
+    named = saved(own.select(F.col("cid").alias("c"), "root", "component", *added))
     return rows.join(named, (F.col("cid") == F.col("c")) & (F.col("n") > 0), "left").select(
-        "doc", "tid", "n", "root", F.coalesce("component", "doc").alias("component")
+        "doc", "tid", "n", "root", F.coalesce("component", "doc").alias("component"), *[F.coalesce(c, F.lit(0)).alias(c) for c in added]
     )
 
 
+def _shown(found: DataFrame, *more: str) -> DataFrame:
+    plain = lambda c: F.when(F.col(c) != LAST, F.col(c))
+    return found.select(plain("doc").alias("doc_id"), F.col("n").alias("n_shingles"), plain("component").alias("component_id"), *more)
+
+
 def similar(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per document."""
-    plain = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return _components(docs, k, percent).select(
-        plain("doc").alias("doc_id"), F.col("n").alias("n_shingles"), plain("component").alias("component_id")
-    )
+    return _shown(_components(docs, k, percent))
+
+
+def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links, one row per document.
+
+    n_links counts all other documents that are similar enough, copies included.
+    """
+    return _shown(_components(docs, k, percent, count=True), "n_links")
 
 
 def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:

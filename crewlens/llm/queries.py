@@ -48,6 +48,10 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar(table(spark, folder, "documents"))
 
 
+def op7_jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked(table(spark, folder, "documents"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_url_filters": op6_url_filters,
     "op7_jaccard_join": op7_jaccard_join,
+    "op7_jaccard_links": op7_jaccard_links,
     "op8_language_id": op8_language_id,
     "op9_lm_scores": op9_lm_scores,
     "op10_chat_formatting": op10_chat_formatting,

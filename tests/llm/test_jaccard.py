@@ -75,6 +75,34 @@ def test_one_of_each_group_stays(make):
     assert sorted(r.doc_id for r in kept.collect()) == sorted([*want, 2_000_000, 2_000_001, 2_000_001])
 
 
+def near_copies(seed, n):
+    """Texts that mostly are similar to each other, of two lengths that are at the threshold's edge."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(90)]
+    rows = []
+    for i in range(n):
+        w = list(base if rng.random() < 0.6 else base[:70])
+        w[rng.randrange(len(w))] = f"c{rng.randrange(10**6)}"
+        rows.append((10**7 + i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [None, 700])
+def test_number_of_links(make, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+    rows = chains(5, 80) + near_copies(6, 60)
+    rows += [(2 * 10**7 + i, t) for i, (_, t) in enumerate(rows[70:100])] + [(1, None), (2, " "), (3, "alone")]
+    sets = [(d, brute.shingles(t)) for d, t in rows]
+    alike = lambda a, b: bool(a) and 100 * len(a & b) >= 75 * len(a | b)
+    want = {d: sum(alike(a, b) for e, b in sets if e != d) for d, a in sets}
+    got = jaccard.linked(make(SCHEMA, rows).repartition(4)).collect()
+    assert {r.doc_id: r.n_links for r in got} == want
+    assert max(want.values()) > 20
+    whole = brute.components(rows)
+    assert {r.doc_id: r.component_id for r in got} == whole
+
+
 def test_null_and_repeated_ids_stay_unless_linked(make):
     near = " ".join(f"w{i}" for i in range(60))
     rows = [(None, "one text of its own words here"), (None, "a second text that is like no other"), (None, "the third of the unlinked texts")]
