@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -166,3 +167,38 @@ def maximal(turns):
             if c == min(same):
                 out[c] = (len(t), len(same))
     return out
+
+
+def runs(w):
+    """(start, length, period) of all periodic runs, by trying every lag."""
+    n, out = len(w), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and w[j] == w[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(6, 4 * q):
+                part = w[i : j + q]
+                if not any(part[p:] == part[:-p] for p in range(1, q)):
+                    out.append((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_report(doc_id, text):
+    w = words(text)
+    n, h = len(w), zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    found = runs(w)
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    four = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    left = " ".join(x for i, x in enumerate(w) if i not in gone)
+    return (len(found), *four, digest("".join(f"{a},{b},{c}\n" for a, b, c in found)), digest(left))
