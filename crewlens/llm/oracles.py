@@ -1,6 +1,6 @@
 """The queries' results in SQL, for those that SQL can express."""
 
-from crewlens.llm import mixing, urls
+from crewlens.llm import fingerprints, mixing, urls
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -118,6 +118,78 @@ select conv_id, cast(len(t) as bigint) n_turns, copies,
          || {_CLEAN.format("coalesce(x.text, '')")} || '<|im_end|>' || chr(10)), '') as text
 from m join k using (conv_id)"""
 
+_F = fingerprints
+_SUMS = (
+    "list_sum(list_transform(list_zip(q, {0}), lambda z: abs(z[1] - z[2])))",
+    "list_sum(list_transform(list_zip(q, {0}), lambda z: greatest(z[1], z[2])))",
+)
+_BOUND = f"least({_F.BOUND}, {_SUMS[1]} + {_F.LENGTH_POINTS})"
+_NEAR = f"1 - least({_SUMS[0]} + {_F.LENGTH_POINTS} * (greatest(n, {{1}}) - least(n, {{1}})) // greatest(n, {{1}}, 1), {_BOUND})::double / ({_BOUND})::double"
+_LAST = f"lead({{0}}) over (order by doc_id), first({{0}}) over (order by doc_id)"
+_DIGEST_LENGTH = f"printf('%0{_F.LENGTH_DIGITS}x', strlen(t))"
+OP11 = f"""
+with d as (select doc_id, coalesce(text, '') t from documents),
+o as (select doc_id, t, coalesce({_LAST.format("t")}) following from d),
+k as (select doc_id, false fresh, t from d
+      union all select doc_id, true, left(t, length(t) - length(t) // 4) || left(following, length(t) // 4) from o),
+x as (select doc_id, fresh, strlen(t) n, hex(encode(t)) || '{"00" * 2 * _F.SPREAD}' h from k),
+b as (select doc_id, fresh, unnest(range(0, n)) i, unnest(list_transform(regexp_extract_all(substr(h, 1, 2 * n), '..'),
+             lambda y: ('0x' || y)::bigint)) v from x),
+w as (select doc_id, fresh, v * {_F.FACTORS[0]} + coalesce(lead(v, {_F.SPREAD}) over s, 0) * {_F.FACTORS[1]}
+             + coalesce(lead(v, {2 * _F.SPREAD}) over s, 0) * {_F.FACTORS[2]} m from b window s as (partition by doc_id, fresh order by i)),
+c as (select doc_id, fresh, ((m % 4294967296) >> {_F.SHIFT}) & {_F.BUCKETS - 1} bucket, count(*) c from w group by all),
+e as (select doc_id, fresh, bucket, coalesce(c, 0) c from (select doc_id, fresh, unnest(range(0, {_F.BUCKETS})) bucket from x)
+      left join c using (doc_id, fresh, bucket)),
+s as (select doc_id, fresh, list_sort(list(c)) s from e group by all),
+l as (select doc_id, fresh, bucket, (c > s[{_F.BUCKETS // 4}])::int + (c > s[{_F.BUCKETS // 2}])::int + (c > s[{_F.BUCKETS * 3 // 4}])::int q
+      from e join s using (doc_id, fresh)),
+digits as (select doc_id, fresh, bucket // 2 place, max(case when bucket % 2 = 0 then 4 * q else 0 end) + max(case when bucket % 2 = 1 then q else 0 end) v
+           from l group by all),
+f as (select doc_id, fresh, string_agg(printf('%x', v), '' order by place) f from digits group by all),
+g as (select doc_id, fresh, list(q order by bucket) q from l group by all),
+p as (select k.doc_id, k.fresh, strlen(t) n, length(t) chars, sha256(t) sha, {_DIGEST_LENGTH} || f f, q
+      from k join f using (doc_id, fresh) join g using (doc_id, fresh)),
+j as (select a.*, e.sha edited_sha, e.f ef, e.n en, e.q eq, coalesce(lead(a.n) over (order by a.doc_id), first(a.n) over (order by a.doc_id)) nn,
+             coalesce(lead(a.q) over (order by a.doc_id), first(a.q) over (order by a.doc_id)) nq
+      from p a join p e on a.doc_id = e.doc_id and not a.fresh and e.fresh)
+select doc_id, cast(chars as bigint) n_chars, edited_sha edited_sha256, f fingerprint, ef edited_fingerprint,
+       {_NEAR.format("eq", "en")} near_edited, {_NEAR.format("nq", "nn")} near_next
+from j"""
+
+# Four steps of the checksum at once, by the reversed polynomial.
+_NIBBLES = []
+for _n in range(16):
+    for _ in range(4):
+        _n = _n >> 1 ^ (0xEDB88320 if _n & 1 else 0)
+    _NIBBLES.append(_n)
+_HALF = f"xor({{0}} >> 4, {_NIBBLES}[({{0}} & 15) + 1])"
+_BYTE = _HALF.format("(" + _HALF.format("xor(crc, b)") + ")")
+CRC32 = (
+    "xor(4294967295, list_reduce(list_concat([4294967295::bigint], list_transform(string_split({0}, ''), lambda x: ascii(x)::bigint)), "
+    f"lambda crc, b: {_BYTE}))"
+)
+
+OP12 = f"""
+with t as (select conv_id c, coalesce(role, '') r, coalesce(text, '') x,
+                  row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) pos
+           from conversations where conv_id is not null),
+k as (select c, {CRC32.format("cast(c as varchar)")} % 9 h from (select distinct c from t)),
+rows_ as (select t.c, 2 part, pos, r, x from t join k using (c) where c % 5 = 0 or pos > h
+          union all select k.c, 1, pos, r, x from k join t on t.c = k.c - k.c % 5 where k.c % 5 <> 0 and pos <= h),
+s as (select k.c, coalesce(list({{'r': r, 'x': x}} order by part, pos) filter (part is not null), []) s from k left join rows_ using (c) group by k.c),
+p as (select c, s, d, cast(to_json(s[1:d]) as varchar) node from (select c, s, unnest(range(0, len(s) + 1)) d from s)),
+n as (select node, d, min(c) c, count(*) n, any_value(s[1:d]) s, coalesce(any_value(strlen(s[d].x)), 0) bytes,
+             string_agg(c::varchar, ',' order by c) filter (len(s) = d) ends from p group by node, d),
+above as (select *, cast(to_json(s[1:d - 1]) as varchar) up from n where d > 0),
+children as (select up node, count(*) n_children from above group by 1),
+down as (select cast(to_json(s[1:j]) as varchar) node, n, bytes, leaf from (
+           select s, n, bytes, node not in (select node from children) leaf, unnest(range(0, d + 1)) j from n)),
+sums as (select node, count(*) filter (leaf) n_leaves, sum((n - 1) * bytes) saved from down group by 1)
+select n.c conv_id, cast(n.d as bigint) depth, q.c parent_conv_id, n.n n_convs, cast(coalesce(n_children, 0) as bigint) n_children,
+       n_leaves, cast(saved as bigint) saved_tokens, sha256(coalesce(n.ends, '')) ends_sha256
+from n left join above on above.node = n.node left join n q on q.node = above.up
+left join children on children.node = n.node join sums on sums.node = n.node"""
+
 ORACLES = {
     "op1_mix_sources": OP1,
     "op3_quality_rules": OP3,
@@ -125,4 +197,6 @@ ORACLES = {
     "op6_url_filters": OP6,
     "op7_jaccard_join": OP7,
     "op10_chat_formatting": OP10,
+    "op11_fingerprints": OP11,
+    "op12_prefix_trie": OP12,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import chat, jaccard, language, mixing, neighbours, ngrams, periods, pieces, quality, repeats, urls
+from crewlens.llm import chat, fingerprints, jaccard, language, mixing, neighbours, ngrams, periods, pieces, quality, repeats, tries, urls
 from crewlens.llm.common import table
 from crewlens.llm.oracles import ORACLES
 
@@ -64,6 +64,14 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.rendered(table(spark, folder, "conversations"))
 
 
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.next_likeness(table(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.report(table(spark, folder, "conversations"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periods.report(periods.loops_planted(table(spark, folder, "documents")))
 
@@ -80,6 +88,8 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_lm_scores": op9_lm_scores,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -202,3 +202,72 @@ def run_report(doc_id, text):
     four = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
     left = " ".join(x for i, x in enumerate(w) if i not in gone)
     return (len(found), *four, digest("".join(f"{a},{b},{c}\n" for a, b, c in found)), digest(left))
+
+
+def rebuilt(rows):
+    """conv_id -> turns (role, text), from rows (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(x)] for c, x in own.items()}
+    out = {}
+    for c, t in own.items():
+        h, base = zlib.crc32(str(c).encode()) % 9, c - int(math.fmod(c, 5))
+        out[c] = t if base == c else own.get(base, [])[:h] + t[h:]
+    return out
+
+
+def trie(rows):
+    """The nodes as (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved, ends)."""
+    whole = {c: tuple(t) for c, t in rebuilt(rows).items()}
+    members = defaultdict(list)
+    for c, t in whole.items():
+        for d in range(len(t) + 1):
+            members[t[:d]].append(c)
+    parents = {n[:-1] for n in members if n}
+    out = []
+    for n, who in members.items():
+        below = [x for x in members if x[: len(n)] == n]
+        ids = ",".join(map(str, sorted(c for c in who if len(whole[c]) == len(n))))
+        out.append((
+            min(who), len(n), min(members[n[:-1]]) if n else None, len(who), sum(len(x) == len(n) + 1 for x in below),
+            sum(x not in parents for x in below), sum((len(members[x]) - 1) * len(x[-1][1].encode()) for x in below if x),
+            hashlib.sha256(ids.encode()).hexdigest(),
+        ))
+    return out
+
+
+def levels(text):
+    """Quartile of every bucket's count, by counting triplet after triplet."""
+    data, count = (text or "").encode(), [0] * 256
+    padded = data + bytes(4)
+    for i in range(len(data)):
+        v = padded[i] * 2654435761 + padded[i + 2] * 2246822519 + padded[i + 4] * 3266489917
+        count[v % 2**32 >> 13 & 255] += 1
+    s = sorted(count)
+    return [(c > s[63]) + (c > s[127]) + (c > s[191]) for c in count]
+
+
+def digest(text):
+    q = levels(text)
+    return f"{len((text or '').encode()):012x}" + "".join(f"{4 * a + b:x}" for a, b in zip(q[::2], q[1::2], strict=True))
+
+
+def near(x, y):
+    a, b, n, m = levels(x), levels(y), len((x or "").encode()), len((y or "").encode())
+    difference = sum(abs(i - j) for i, j in zip(a, b, strict=True)) + 32 * abs(n - m) // max(n, m, 1)
+    bound = min(320, sum(map(max, a, b)) + 32)
+    return 1 - min(difference, bound) / bound
+
+
+def next_likeness(rows):
+    """Results for rows (doc_id, text) in the order given."""
+    out = []
+    for i, (doc_id, text) in enumerate(rows):
+        text, following = text or "", rows[(i + 1) % len(rows)][1] or ""
+        n = len(text) // 4
+        new = text[: len(text) - n] + following[:n]
+        sha = hashlib.sha256(new.encode()).hexdigest()
+        out.append((doc_id, len(text), sha, digest(text), digest(new), near(text, new), near(text, following)))
+    return out
