@@ -1,5 +1,7 @@
 """Aggregate expressions. All of them combine on the map side before the shuffle."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,9 +18,54 @@ def sum0(c: Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
+# A sum is kept as whole numbers of 2**STEPS[i], each at most DIGIT / 2 per value: half a trillion
+# values fit a 64-bit sum. Values from BEYOND on are added as they are.
+DIGIT = 2.0**24
+STEPS = tuple(2.0**n for n in (-48, -24, 0, 24, 48))
+BEYOND = STEPS[-1] * DIGIT
+
+
+def sum_parts(c: Column) -> list[Column]:
+    """The parts of an exact sum: one whole number per step, and what none of the steps holds.
+
+    Sums of whole numbers do not depend on the order of addition, and all of them are plain
+    64-bit numbers. The last part is a sum of doubles: of what is finer than the finest step, of
+    values too large for the widest, of infinities and NaN.
+    """
+    x = c.cast("double")
+    held = F.when(F.abs(x) < F.lit(BEYOND), x)
+    whole = [F.rint(held / F.lit(step)) for step in STEPS]
+    digits = [w - up * F.lit(DIGIT) for w, up in zip(whole, whole[1:])]
+    rest = F.coalesce(held - whole[0] * F.lit(STEPS[0]), x)
+    return [*[d.cast("long") for d in (*digits, whole[-1])], rest]
+
+
+def sum_of_parts(parts: Sequence[Column]) -> Column:
+    """The sum as a double, from the sums of its parts; NULL if there was no value.
+
+    Carries go up first, which leaves at most half a digit of either sign in each part but the
+    top one; the parts are then added from the smallest on.
+    """
+    *whole, rest = parts
+    digits, carry = [], F.lit(0).cast("long")
+    for total in whole[:-1]:
+        total = F.coalesce(total, F.lit(0)) + carry
+        carry = F.shiftright(total + F.lit(1 << 23), 24)
+        digits.append(total - F.shiftleft(carry, 24))
+    digits.append(F.coalesce(whole[-1], F.lit(0)) + carry)
+    out = rest
+    for digit, step in zip(digits, STEPS, strict=True):
+        out = out + digit.cast("double") * F.lit(step)
+    return out
+
+
 def exact_sum(c: Column) -> Column:
-    """Sum of amounts as decimals of eight places, so that the order of addition does not show."""
-    return F.sum(c.cast("decimal(28,8)")).cast("double")
+    """Sum that does not depend on the order of addition, to the last place or the one before.
+
+    It holds for values between about 1e-6 and 4e21 in size, and finer ones to 2**-48; what lies
+    beyond adds up as doubles do. Infinities and NaN are kept.
+    """
+    return sum_of_parts([F.sum(part) for part in sum_parts(c)])
 
 
 def amount0(c: Column) -> Column:

@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
-from crewlens.functions.aggregates import sum0
+from crewlens.functions.aggregates import STEPS, sum_of_parts, sum_parts
 from crewlens.functions.parsing import col
 from crewlens.operators.lookup import join_group_facts
 from crewlens.operators.rows import drop_missing
@@ -66,12 +66,12 @@ def totals_with_mode(
     """
     by_category = df.where(col(key).isNotNull()).groupBy(col(key), col(category)).agg(
         F.count(col(category)).alias("_n"),
-        *[F.sum(col(c).cast("decimal(28,8)")).alias(n) for n, c in sums.items()],
+        *[F.sum(part).alias(f"{n}.{i}") for n, c in sums.items() for i, part in enumerate(sum_parts(col(c)))],
         *[F.count(col(c)).alias(n) for n, c in counts.items()],
     )
     rank = F.when(col(category).isNotNull(), F.struct(-F.col("_n"), col(category)))
     return by_category.groupBy(col(key)).agg(
-        *[sum0(F.col(n)).cast("double").alias(n) for n in sums],
+        *[F.coalesce(sum_of_parts([F.sum(col(f"{n}.{i}")) for i in range(len(STEPS) + 1)]), F.lit(0.0)).alias(n) for n in sums],
         *[F.sum(F.col(n)).alias(n) for n in counts],
         F.min_by(col(category), rank).alias(mode),
     )
