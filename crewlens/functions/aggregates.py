@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crewlens.functions.parsing import quoted
 from crewlens.functions.scalars import ratio
 
 
@@ -18,59 +19,61 @@ def sum0(c: Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
-# A sum is kept as whole numbers of 2**STEPS[i], each at most DIGIT / 2 per value: half a trillion
-# values fit a 64-bit sum. Values from BEYOND on are added as they are.
-DIGIT = 2.0**24
-STEPS = tuple(2.0**n for n in (-48, -24, 0, 24, 48))
-BEYOND = STEPS[-1] * DIGIT
+# A sum is kept as whole numbers of the STEPS, each at most 2**(DIGIT_BITS - 1) per value, so that
+# 10**11 values fit a 64-bit sum. Values from BEYOND on are added as they are.
+DIGIT_BITS = 26
+STEPS = tuple(2.0**n for n in (-46, -20, 6, 32))
+BEYOND = STEPS[-1] * 2.0**DIGIT_BITS
 
 
-def sum_parts(c: Column) -> list[Column]:
-    """The parts of an exact sum: one whole number per step, and what none of the steps holds.
+def sum_parts(name: str) -> list[str]:
+    """The parts of an exact sum of a column, as SQL: one whole number per step, and what none of
+    the steps holds.
 
     Sums of whole numbers do not depend on the order of addition, and all of them are plain
     64-bit numbers. The last part is a sum of doubles: of what is finer than the finest step, of
-    values too large for the widest, of infinities and NaN.
+    values too large for the widest, of infinities and NaN. (SQL, since to build the expressions
+    one by one from Python takes longer than to run them on a small table.)
     """
-    x = c.cast("double")
-    held = F.when(F.abs(x) < F.lit(BEYOND), x)
-    whole = [F.rint(held / F.lit(step)) for step in STEPS]
-    digits = [w - up * F.lit(DIGIT) for w, up in zip(whole, whole[1:])]
-    rest = F.coalesce(held - whole[0] * F.lit(STEPS[0]), x)
-    return [*[d.cast("long") for d in (*digits, whole[-1])], rest]
+    x = f"cast({quoted(name)} as double)"
+    # Not a plain condition: that would be moved into every part, and evaluated for each anew.
+    held = f"({x} * if(abs({x}) < {BEYOND!r}D, 1.0D, null))"
+    whole = [f"rint({held} * {1 / step!r}D)" for step in STEPS]
+    digits = [f"cast({w} - {up} * {2.0**DIGIT_BITS!r}D as bigint)" for w, up in zip(whole, whole[1:])]
+    return [*digits, f"cast({whole[-1]} as bigint)", f"coalesce({held} - {whole[0]} * {STEPS[0]!r}D, {x})"]
 
 
-def sum_of_parts(parts: Sequence[Column]) -> Column:
-    """The sum as a double, from the sums of its parts; NULL if there was no value.
+def sum_of_parts(parts: Sequence[str]) -> Column:
+    """The sum as a double, from the sums of its parts, in SQL; NULL if there was no value.
 
     Carries go up first, which leaves at most half a digit of either sign in each part but the
     top one; the parts are then added from the smallest on.
     """
-    *whole, rest = parts
-    digits, carry = [], F.lit(0).cast("long")
-    for total in whole[:-1]:
-        total = F.coalesce(total, F.lit(0)) + carry
-        carry = F.shiftright(total + F.lit(1 << 23), 24)
-        digits.append(total - F.shiftleft(carry, 24))
-    digits.append(F.coalesce(whole[-1], F.lit(0)) + carry)
-    out = rest
-    for digit, step in zip(digits, STEPS, strict=True):
-        out = out + digit.cast("double") * F.lit(step)
-    return out
-
-
-def exact_sum(c: Column) -> Column:
+    *whole, out = parts
+    carry = "0L"
+    for total, step in zip(whole, STEPS, strict=True):
+        total = f"(coalesce({total}, 0L) + {carry})"
+        if step == STEPS[-1]:
+            digit = total
+        else:
+            carry = f"shiftright({total} + {1 << DIGIT_BITS - 1}L, {DIGIT_BITS})"
+            digit = f"({total} - shiftleft({carry}, {DIGIT_BITS}))"
+        out = f"({out} + {digit} * {step!r}D)"
+    return F.expr(out)
+
+
+def exact_sum(name: str) -> Column:
     """Sum that does not depend on the order of addition, to the last place or the one before.
 
-    It holds for values between about 1e-6 and 4e21 in size, and finer ones to 2**-48; what lies
+    It holds for values between about 1e-6 and 2e17 in size, and finer ones to 2**-46; what lies
     beyond adds up as doubles do. Infinities and NaN are kept.
     """
-    return sum_of_parts([F.sum(part) for part in sum_parts(c)])
+    return sum_of_parts([f"sum({part})" for part in sum_parts(name)])
 
 
-def amount0(c: Column) -> Column:
+def amount0(name: str) -> Column:
     """``exact_sum``, zero for a group without any value."""
-    return F.coalesce(exact_sum(c), F.lit(0.0))
+    return F.coalesce(exact_sum(name), F.lit(0.0))
 
 
 def first_by(value: Column, *order: Column) -> Column:
@@ -83,8 +86,8 @@ def descending(c: Column, tag: str) -> list[Column]:
     return [c.isNull().alias(f"{tag}_missing"), (-c).alias(f"{tag}_reversed")]
 
 
-def sum_per_distinct(value: Column, identity: Column) -> Column:
-    """Sum divided by the number of distinct identities, at least one."""
+def sum_per_distinct(value: str, identity: Column) -> Column:
+    """Sum of a column divided by the number of distinct identities, at least one."""
     return ratio(exact_sum(value), F.greatest(F.count_distinct(identity), F.lit(1)))
 
 

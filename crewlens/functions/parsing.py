@@ -15,9 +15,14 @@ DATE_FORMATS = (
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d/M/yyyy H:m", "d/M/yyyy H:m:s", "yyyy-M-d", "yyyy-M-d H:m:s")
 
 
+def quoted(name: str) -> str:
+    """A column's exact name in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
     """A column by its exact name; sheet headers hold dots and blanks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def strip(c: Column) -> Column:

@@ -11,6 +11,12 @@ from crewlens.session import materialise
 SALTS = 16
 
 
+def leaf_bytes(df: DataFrame) -> int:
+    """Bytes of all tables that a plan reads, as the planner knows them; nothing is run."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def salt_of(df: DataFrame, spread: Sequence[str] = (), salts: int = SALTS) -> Column:
     """Salt of a row from the columns in ``spread`` (all columns if none are named).
 

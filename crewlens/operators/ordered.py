@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crewlens.functions.parsing import col
+from crewlens.operators.lookup import leaf_bytes
 
 BLOCK_ROWS = 1 << 20
+# Bytes of the tables read up to which there are few enough blocks for one level of them: a block
+# holds a row or more, and a row takes a byte or more.
+ONE_LEVEL_UP_TO = 64 << 20
 
 
 def row_levels(df: DataFrame, order: str, rows: int = BLOCK_ROWS) -> list[Column]:
@@ -42,6 +46,7 @@ def forward_fill(
     target: str,
     partition: Sequence[str] = (),
     rows: int = BLOCK_ROWS,
+    one_level_up_to: int = ONE_LEVEL_UP_TO,
 ) -> DataFrame:
     """Last non-null value at or before each row.
 
@@ -49,22 +54,26 @@ def forward_fill(
     yields its last value; from the widest down, a running pass inside the next wider block
     tells what a block starts with; rows are then filled inside their block. However far apart
     the ordinals lie, no task sees more than ``rows`` rows or blocks of one partition at a time.
+    Tables of up to ``one_level_up_to`` bytes, as the planner knows them, get no wider blocks.
     The blocks depend on the data only, so a task that is run again after the loss of an
     executor meets the same blocks.
     """
-    given, levels = list(partition), ["_b0", "_b1", "_b2"]
-    blocks = df.withColumns(dict(zip(levels, row_levels(df, order, rows), strict=True)))
+    made = row_levels(df, order, rows)
+    if leaf_bytes(df) <= one_level_up_to:
+        made = made[:1]
+    given, levels = list(partition), [f"_b{n}" for n in range(len(made))]
+    blocks = df.withColumns(dict(zip(levels, made, strict=True)))
     present = col(value).isNotNull()
     last = blocks.groupBy(*[col(p) for p in given], *levels).agg(
         F.max_by(col(value), F.when(present, col(order))).alias("_end")
     )
     ends = [last]
-    for n in (0, 1):
+    for n in range(len(levels) - 1):
         keys = [*given, *levels[n + 1 :]]
         known = F.when(F.col("_end").isNotNull(), F.col(levels[n]))
         ends.append(ends[-1].groupBy(*[col(k) for k in keys]).agg(F.max_by("_end", known).alias("_end")))
     carried: DataFrame | None = None
-    for n in (2, 1, 0):
+    for n in reversed(range(len(levels))):
         keys = [*given, *levels[n + 1 :]]
         ahead = Window.partitionBy(*[col(k) for k in keys]).orderBy(levels[n]).rowsBetween(Window.unboundedPreceding, -1)
         own = ends[n].withColumn("_own", F.last("_end", ignorenulls=True).over(ahead))
@@ -79,5 +88,5 @@ def forward_fill(
     running = F.last(col(value), ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     filled = blocks.join(carried, _matches([*given, *levels], "_k0_"), "left")
     return filled.withColumn(target, F.coalesce(running, F.col("_carry"))).drop(
-        *levels, "_carry", *[f"_k0_{i}" for i in range(len(given) + 3)]
+        *levels, "_carry", *[f"_k0_{i}" for i in range(len(given) + len(levels))]
     )

@@ -52,7 +52,7 @@ def absence_facts(df: DataFrame) -> DataFrame:
     days = first_existing(df, V.ABSENCE_DAYS_PREFERENCE)
     keyed = standardize_id(df, V.EMPLOYEE_CODE, KEY)
     return group_nonnull(keyed.select(KEY, num_of(keyed, days).alias("_days")), KEY).agg(
-        A.amount0(F.col("_days")).alias("Total_Absence_Days"),
+        A.amount0("_days").alias("Total_Absence_Days"),
         F.count("_days").alias("Absence_Count"),
     )
 
@@ -68,7 +68,7 @@ def training_facts(df: DataFrame) -> DataFrame:
         done.alias("_done"),
     )
     return group_nonnull(rows, KEY).agg(
-        A.amount0(F.col("_hours")).alias("Total_Training_Hours"),
+        A.amount0("_hours").alias("Total_Training_Hours"),
         F.count_distinct("_session").alias("Training_Sessions_Count"),
         F.count_if("_done").alias("Completed_Training_Sessions"),
     )

@@ -66,8 +66,8 @@ def training_kpis(training: DataFrame, done: str = V.TRAINING_DONE, key: str = "
         .agg(
             F.count_distinct("employee_id").alias("trained_employees"),
             F.count("course").alias("completed_courses"),
-            A.amount0(F.col("hours")).alias("training_hours"),
-            A.sum_per_distinct(F.col("hours"), F.col("employee_id")).alias("avg_hours_per_trained_employee"),
+            A.amount0("hours").alias("training_hours"),
+            A.sum_per_distinct("hours", F.col("employee_id")).alias("avg_hours_per_trained_employee"),
             A.share(F.col("certification_flag")).alias("certification_rate"),
         )
         .orderBy(key)
@@ -113,7 +113,7 @@ def absence_group_mix(absences: DataFrame) -> DataFrame:
     """Absence days per group, largest first."""
     return (
         group_nonnull(absences, "absence_group")
-        .agg(A.amount0(F.col("working_days")).alias("absence_days"))
+        .agg(A.amount0("working_days").alias("absence_days"))
         .orderBy(F.col("absence_days").desc(), "absence_group")
     )
 
@@ -132,7 +132,7 @@ def training_perf_summary(
     """
     hours = (
         group_nonnull(training.where(F.col("status") == done), "employee_id")
-        .agg(A.amount0(F.col("hours")).alias("training_hours"))
+        .agg(A.amount0("hours").alias("training_hours"))
     )
     scored = drop_missing(reviews, "performance_score").select("employee_id", "performance_score")
     joined = scored.join(hours, "employee_id", "left").na.fill(0.0, ["training_hours"])
@@ -173,10 +173,10 @@ def kpi_summary(
         "w": latest_snapshot(workforce, "PERIOD").agg(*_capacity(female)),
         "r": reviews.agg(A.share(completed).alias("completion"), F.avg("performance_score").alias("score")),
         "t": training.where((F.col("status") == training_done) & (F.col("year") == year)).agg(
-            A.amount0(F.col("hours")).alias("hours")
+            A.amount0("hours").alias("hours")
         ),
         "q": quick.where(F.col("status") == survey_done).agg(F.avg("general_rating").alias("rating")),
-        "a": absences.where(F.col("employee_id").isNotNull()).agg(A.amount0(F.col("working_days")).alias("days")),
+        "a": absences.where(F.col("employee_id").isNotNull()).agg(A.amount0("working_days").alias("days")),
         "f": finance.where(F.col("year") == year).agg(F.max("nbi_per_fte").alias("nbi")),
     }
     row = workforce.sparkSession.range(1).select(*[_as_struct(t).scalar().alias(n) for n, t in inputs.items()])

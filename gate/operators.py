@@ -231,7 +231,7 @@ def aggregate_rules(spark: SparkSession, sf: str) -> DataFrame:
         F.avg(F.when(known.isNotNull(), price)).alias("avg_known"),
         A.share(known == "F").alias("share_f"),
         A.weighted_mean(price, F.col("o_orderkey")).alias("weighted"),
-        A.sum_per_distinct(price, F.col("o_custkey")).alias("per_head"),
+        A.sum_per_distinct("o_totalprice", F.col("o_custkey")).alias("per_head"),
         A.at_latest(status, when).alias("last_status"),
         A.at_first(status, when).alias("first_status"),
     )

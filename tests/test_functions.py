@@ -185,4 +185,4 @@ def test_weighted_mean_latest_and_first(make):
     v, n, p = F.col("v"), F.col("n"), F.col("p")
     assert values(df.agg(A.weighted_mean(v, n), A.at_latest(v, p), A.at_first(v, p))) == [(pytest.approx(0.725), 0.8, 0.1)]
     assert df.where("n = 0").agg(A.weighted_mean(v, n)).first()[0] is None
-    assert df.agg(A.sum_per_distinct(v, F.lit(None).cast("string"))).first()[0] == pytest.approx(1.4)
+    assert df.agg(A.sum_per_distinct("v", F.lit(None).cast("string"))).first()[0] == pytest.approx(1.4)

@@ -213,6 +213,32 @@ def test_hot_group_is_spread_before_its_aggregate(spark):
     assert plan.index("partial_count(1)") < join and "percentile(" not in plan.replace("percentile_approx(", "")
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 1000, 40_001])
+def test_medians_narrowed_to_a_cell_are_those_of_spark(spark, n):
+    df = spark.range(n).selectExpr(
+        "if(id % 3 = 0, 'a', 'hot') g", "id", "cast(xxhash64(id) % 1000003 as double) x", "if(id % 5 = 0, null, floor(sqrt(id))) y",
+        "case when id % 7 = 0 then 1e300 when id % 7 = 1 then -1e300 else pow(10.0D, id % 300 - 150) end z", "cast(null as double) e",
+    )
+    wanted = {c: F.col(c) for c in "xyze"}
+    got = grouping.medians(df, "g", wanted, ["id"], most_sorted=3)
+    plain = df.groupBy("g").agg(*[F.median(c).alias(c) for c in wanted])
+    assert values(got, "g") == values(plain.select("g", *wanted), "g")
+
+
+def test_no_task_sorts_more_than_a_cell_of_ten_million_values(spark):
+    n = 10_000_000
+    half = (0.5 - grouping.MARGIN) * n, (0.5 + grouping.MARGIN) * n
+    inside = spark.range(n).where(F.col("id").between(*half)).selectExpr(
+        "'hot' _g", "0 _i", "cast(id as double) _v", "0 _side", "1L _n"
+    )
+    wide, kept = grouping._middle_cells(inside, 10_000)
+    assert wide.first()._values > 70_000
+    # A cell has a thousandth of the values, and twice the sketch's error.
+    assert 0 < kept.count() <= 2 * 80_000 * (1 / grouping.CELLS + 2 / grouping.ACCURACY)
+    df = spark.range(n).selectExpr("'hot' g", "id", "cast(id as double) x")
+    assert values(grouping.medians(df, "g", {"m": F.col("x")}, ["id"], most_sorted=10_000)) == [("hot", (n - 1) / 2)]
+
+
 def test_salt_is_repeatable_and_even(spark):
     df = spark.range(16000).selectExpr("id", "1 as same")
     one, two = (df.select(lookup.salt_of(df, ["id"]).alias("s")).groupBy("s").count().orderBy("s").collect() for _ in range(2))
@@ -278,12 +304,12 @@ def filled_by_hand(data):
 
 @FEW
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.sampled_from("xyz"))), min_size=1, max_size=40),
-       st.integers(1, 9), st.booleans())
-def test_forward_fill_equals_a_loop(make, cells, block, keyed):
+       st.integers(1, 9), st.booleans(), st.booleans())
+def test_forward_fill_equals_a_loop(make, cells, block, keyed, small):
     data = [(k, i * 3, v) for i, (k, v) in enumerate(cells)]
     shuffled = random.Random(3).sample(data, len(data))
     df = make("k string, p long, v string", shuffled)
-    out = ordered.forward_fill(df, "v", "p", "f", ["k"] if keyed else [], rows=block)
+    out = ordered.forward_fill(df, "v", "p", "f", ["k"] if keyed else [], block, 1 << 63 if small else 0)
     want = filled_by_hand(data) if keyed else [(k, p, v, f) for (k, p, v), (_, _, _, f) in zip(
         data, filled_by_hand([(None, p, v) for _, p, v in data]))]
     assert values(out, "p") == want
@@ -305,9 +331,10 @@ def test_row_blocks_need_an_ordinal(make):
     assert values(df.select(ordered.row_levels(df, "i", 4)[0])) == [(big - 1,), (-4,)]
 
 
-def test_forward_fill_sends_only_the_widest_blocks_to_one_task(spark):
+@pytest.mark.parametrize("one_level_up_to", [0, 1 << 20])
+def test_forward_fill_sends_only_the_widest_blocks_to_one_task(spark, one_level_up_to):
     df = spark.range(100).selectExpr("id", "nullif(id % 5, 1) v")
-    plan = plan_of(ordered.forward_fill(df, "v", "id", "f"))
+    plan = plan_of(ordered.forward_fill(df, "v", "id", "f", one_level_up_to=one_level_up_to))
     single = plan.index("SinglePartition")
     assert "max_by" in plan[single:single + 900]
     assert plan.count("SinglePartition") == 1
