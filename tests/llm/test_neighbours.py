@@ -1,4 +1,6 @@
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from crewlens.llm import neighbours
@@ -31,7 +33,7 @@ def test_recall_on_the_whole_table(spark):
     df = table(spark, "/root/testdata/sf0.1", "embeddings")
     vectors = {r.vec_id: r.embedding for r in df.collect()}
     want = exact(vectors, [i for i in vectors if i % 50 == 0])
-    got = neighbours.search(df, F.col("vec_id") % 50 == 0, block=1500).collect()
+    got = neighbours.search(df, F.col("vec_id") % 50 == 0).collect()
     assert recall(got, want) >= 0.98
     assert len(got) == sum(map(len, want.values()))
     for r in got:
@@ -42,6 +44,37 @@ def test_recall_on_the_whole_table(spark):
         assert [x[0] for x in own] == [1, 2, 3, 4, 5] and [x[1:] for x in own] == sorted(x[1:] for x in own)
 
 
+def kinds(n, size=64):
+    """Random vectors, and clustered ones of unlike spread."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, size)) * 3
+    return {
+        "random": rng.standard_normal((n, size)),
+        "clustered": centres[rng.integers(0, 40, n)] + rng.standard_normal((n, size)) * rng.choice((0.1, 1.0), (n, 1)),
+    }
+
+
+@pytest.mark.parametrize("kind", ["random", "clustered"])
+def test_few_vectors_are_verified_and_the_nearest_are_among_them(kind):
+    """One block of the production size."""
+    vectors = kinds(neighbours.BLOCK)[kind].astype(np.float32).astype(np.float64)
+    own = list(range(0, len(vectors), 50))
+    got, verified = neighbours.nearest(neighbours.SortedLines(vectors), [np.array([i]) for i in range(len(vectors))], vectors[own], own, 5)
+    want = exact(dict(enumerate(vectors)), own)
+    hits = sum(len({i for _, i in g} & {i for i, _ in want[q]}) for q, g in zip(own, got, strict=True))
+    assert hits >= 0.95 * 5 * len(own)
+    assert verified <= 0.05 * len(vectors) * len(own)
+
+
+def test_recall_over_several_blocks_of_the_production_size(spark):
+    n = 40_000
+    vectors = kinds(n)["random"].astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": vectors.tolist()}), SCHEMA)
+    got = neighbours.search(df, F.col("vec_id") % 200 == 0).collect()
+    want = exact(dict(enumerate(vectors)), range(0, n, 200))
+    assert len(got) == 5 * len(want) and recall(got, want) >= 0.95
+
+
 def test_one_vector_in_a_third_of_the_rows(make):
     rng = np.random.default_rng(1)
     rows = [(i, [1.0, 2.0, 3.0, 4.0] if i % 3 == 0 else rng.standard_normal(4).tolist()) for i in range(600)]
