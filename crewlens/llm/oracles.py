@@ -37,15 +37,17 @@ m as (select doc_id, source, cast(len(w) as bigint) n_words,
              cast(len(lines) - len(list_distinct(lines)) as bigint) n_dup_lines,
              cast(coalesce(cov.n, 0) as bigint) n_repeat_words, len(lines) n_lines
       from d left join cov using (doc_id)),
-f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed,
-             n_words < 50 or 100 * n_repeat_words > 50 * n_words or 10 * n_symbols > n_words
-             or 100 * n_dup_lines > 30 * n_lines or not word_chars between 2 * n_words and 12 * n_words failed from m),
-h as (select source, count(*)::double n, count(*) filter (where failed)::double fails from f where source is not null group by 1),
-p as (select sum(fails) / sum(n) mean, sum(fails * fails / n) / sum(n) - (sum(fails) / sum(n)) * (sum(fails) / sum(n)) spread from h),
-s as (select mean, case when spread > 0 then greatest(1, least(1e6, mean * (1 - mean) / spread - 1)) else 1e6 end st from p),
-v as (select source, (fails + mean * st) / (n + st) > 0.5 rejected from h, s)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not failed and not coalesce(rejected, false) kept
+f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base, 10 * n_symbols > n_words symbols,
+             100 * n_dup_lines > 30 * n_lines dup_lines, not word_chars between 2 * n_words and 12 * n_words word_length from m),
+h as (select source, unnest([base, symbols, dup_lines, word_length]) bad, unnest([1, 2, 3, 4]) rule from f where source is not null),
+c as (select source, rule, count(*)::double n, (count(*) filter (where bad))::double fails from h group by all),
+p as (select rule, sum(fails) / sum(n) mean, count(*) / sum(n) noise,
+             sum(fails * fails / n) / sum(n) - (sum(fails) / sum(n)) * (sum(fails) / sum(n)) square from c group by rule),
+s as (select rule, mean, case when mean > 0 and mean < 1 and noise < 1 and square / (mean * (1 - mean)) > noise
+               then least(1e6, greatest(1, 1 / ((square / (mean * (1 - mean)) - noise) / (1 - noise)) - 1)) else 1e6 end st from p),
+v as (select source, bool_or((fails + mean * st) / (n + st) > 0.5) rejected from c join s using (rule) group by 1)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base base_failed,
+       not (base or symbols or dup_lines or word_length) and not coalesce(rejected, false) kept
 from f left join v using (source)"""
 
 OP4 = """

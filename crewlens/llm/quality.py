@@ -1,13 +1,16 @@
 """Quality rules judged per document and per host.
 
-Every document is measured on its whole text. A host (the document's source) is judged by the
-share of its documents that fail a rule, shrunk towards the corpus by a beta prior fitted to the
-spread of the hosts' rates; all documents of a rejected host go, besides those that fail a rule
-themselves.
+Every document is measured on its whole text. A host (the document's source) is judged rule by
+rule, by the share of its documents that fail the rule, shrunk towards the corpus by a beta prior.
+The prior of a rule is fitted to the hosts' rates by moments: of their spread, what chance alone
+gives hosts of their sizes is taken off, so that many small hosts that are all alike get a strong
+prior. All documents of a host that any rule rejects go, besides those that fail a rule themselves.
 
 Nulls and edges: a null or empty text has no words and fails. Documents without a source
-belong to no host and are judged by their own rules. With one host only, or hosts that all have
-the same rate, the prior is as strong as ``STRONGEST`` documents. Repeated rows count each.
+belong to no host and are judged by their own rules. With one host only, hosts that differ no
+more than by chance, or hosts of one document each, the prior is as strong as ``STRONGEST``
+documents. Repeated rows count each. A rate of exactly ``HOST_RATE`` does not reject. A text is
+measured in one row, which must fit in a task's memory. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ DUP_LINE_PERCENT = 30
 WORD_LENGTH = (2, 12)
 HOST_RATE = 0.5
 STRONGEST = 1e6
+WEAKEST = 1.0
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -92,27 +96,48 @@ def rules() -> dict[str, Column]:
 
 
 def hosts(judged: DataFrame) -> DataFrame:
-    """Host, documents, failures of any rule, shrunk failure rate, verdict; needs (source, failed)."""
+    """host, n documents, and per rule its failures, shrunk rate and verdict (``rules``), then the
+    largest rate and whether any rule rejects the host; needs (source, failed_rules)."""
+    names = list(rules())
     counts = judged.where("source IS NOT NULL").groupBy("source").agg(
-        F.count("*").alias("n"), F.sum(F.col("failed").cast("long")).alias("fails")
+        F.count("*").alias("n"), *[F.sum(F.array_contains("failed_rules", r).cast("long")).alias(r) for r in names]
     )
-    rate = F.col("fails") / F.col("n")
-    # Moments over all documents: their mean rate, and the spread of the rates of their hosts.
     moments = counts.agg(
-        (F.sum("fails") / F.sum("n")).alias("mean"),
-        (F.sum(F.col("n") * rate * rate) / F.sum("n")).alias("square"),
+        F.sum("n").alias("n"), F.count("*").alias("hosts"),
+        *[m for r in names for m in (F.sum(r).alias(r), F.expr(f"sum({r} * {r} / n)").alias(f"{r}_square"))],
     )
-    spread = F.col("square") - F.col("mean") * F.col("mean")
-    strength = F.when(
-        spread > 0, F.greatest(F.lit(1.0), F.least(F.lit(STRONGEST), F.col("mean") * (1 - F.col("mean")) / spread - 1))
-    ).otherwise(F.lit(STRONGEST))
-    prior = moments.select(F.struct((F.col("mean") * strength).alias("a"), ((1 - F.col("mean")) * strength).alias("b"))).scalar()
-    shrunk = (F.col("fails") + F.col("prior.a")) / (F.col("n") + F.col("prior.a") + F.col("prior.b"))
-    return counts.withColumn("prior", prior).select(
-        F.col("source").alias("host"), "n", "fails", shrunk.alias("rate"), (shrunk > HOST_RATE).alias("rejected")
+    prior = moments.select(F.struct(*[_prior(r).alias(r) for r in names])).scalar()
+
+    def judgement(r: str) -> Column:
+        own = F.col(f"prior.{r}")
+        rate = (F.col(r) + own["a"]) / (F.col("n") + own["a"] + own["b"])
+        return F.struct(F.lit(r).alias("rule"), F.col(r).alias("fails"), rate.alias("rate"), (rate > HOST_RATE).alias("rejected"))
+
+    found = counts.withColumn("prior", prior).select(F.col("source").alias("host"), "n", F.array(*map(judgement, names)).alias("rules"))
+    return found.select(
+        "*", F.array_max(F.col("rules.rate")).alias("rate"), F.exists("rules", lambda r: r["rejected"]).alias("rejected")
     )
 
 
+def _prior(rule: str) -> Column:
+    """Beta prior (a, b) of a rule, from sums over the hosts.
+
+    The rate of a host of n documents varies by ``m (1 - m) (c + (1 - c) / n)`` about the mean m
+    if documents of a host are correlated by c. Averaged over documents, 1 / n is the number of
+    hosts over that of documents. The prior counts as many documents as 1 / c - 1.
+    """
+    n = F.col("n")
+    mean = F.col(rule) / n
+    noise = F.col("hosts") / n
+    spread = (F.col(f"{rule}_square") / n - mean * mean) / (mean * (1 - mean))
+    correlation = (spread - noise) / (1 - noise)
+    fitted = F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), 1 / correlation - 1))
+    known = (mean > 0) & (mean < 1) & (noise < 1)
+    strength = F.when(known, F.when(spread > noise, fitted)).otherwise(F.lit(None))
+    strength = F.coalesce(strength, F.lit(STRONGEST))
+    return F.struct((mean * strength).alias("a"), ((1 - mean) * strength).alias("b"))
+
+
 def verdicts(docs: DataFrame, *keys: str) -> DataFrame:
     """The key columns, the measures, base_failed, failed rules, host_rate and kept, per document."""
     measured = measure(docs.select(*keys, "source", "text")).drop("text")

@@ -45,27 +45,27 @@ def measures(text):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), len(lines)
 
 
-def fails(text):
+def failures(text):
+    """Of the rules in turn: base, symbols, repeated lines, word length."""
     n, chars, symbols, dup, repeat, lines = measures(text)
-    return (
-        n < 50 or 100 * repeat > 50 * n or 10 * symbols > n or 100 * dup > 30 * lines or not 2 * n <= chars <= 12 * n
-    )
+    return n < 50 or 100 * repeat > 50 * n, 10 * symbols > n, 100 * dup > 30 * lines, not 2 * n <= chars <= 12 * n
 
 
 def quality(rows):
     """Kept or not, for rows of (source, text)."""
-    failed = [fails(t) for _, t in rows]
-    n, f = Counter(), Counter()
-    for (s, _), bad in zip(rows, failed, strict=True):
-        if s is not None:
-            n[s] += 1
-            f[s] += bad
-    total = sum(n.values())
-    mean = sum(f.values()) / total if total else 0
-    spread = sum(n[s] * (f[s] / n[s]) ** 2 for s in n) / total - mean**2 if total else 0
-    strength = max(1, min(1e6, mean * (1 - mean) / spread - 1)) if spread > 0 else 1e6
-    rate = {s: (f[s] + mean * strength) / (n[s] + strength) for s in n}
-    return [not bad and not (s is not None and rate[s] > 0.5) for (s, _), bad in zip(rows, failed, strict=True)]
+    failed = [failures(t) for _, t in rows]
+    n = Counter(s for s, _ in rows if s is not None)
+    total, rejected = sum(n.values()), set()
+    for rule in range(4):
+        f = Counter(s for (s, _), bad in zip(rows, failed, strict=True) if bad[rule] and s is not None)
+        mean, noise = (sum(f.values()) / total, len(n) / total) if total else (0, 1)
+        strength = 1e6
+        if 0 < mean < 1 and noise < 1:
+            spread = (sum(f[s] * f[s] / n[s] for s in n) / total - mean * mean) / (mean * (1 - mean))
+            if spread > noise:
+                strength = min(1e6, max(1, 1 / ((spread - noise) / (1 - noise)) - 1))
+        rejected |= {s for s in n if (f[s] + mean * strength) / (n[s] + strength) > 0.5}
+    return [not any(bad) and s not in rejected for (s, _), bad in zip(rows, failed, strict=True)]
 
 
 def shingles(text, k=5):

@@ -55,6 +55,37 @@ def test_a_rejected_host_takes_its_good_documents_along(make):
     assert not kept & set(range(200, 260)) and set(range(100, 160)) <= kept
 
 
+def judged(spark, hosts, per_host, chance, rule="symbols"):
+    """Documents of equal hosts that fail a rule by chance, or as ``chance`` (SQL) says."""
+    return spark.range(hosts * per_host).selectExpr(
+        f"concat('h', id div {per_host}) source", f"if({chance}, array('{rule}'), cast(array() as array<string>)) failed_rules"
+    )
+
+
+def test_many_small_hosts_that_are_alike_lose_no_good_document(spark):
+    for per_host in (2, 3, 5):
+        found = quality.hosts(judged(spark, 20_000, per_host, "pmod(xxhash64(id), 10) < 3"))
+        assert found.where("rejected").count() == 0
+    rate = found.selectExpr("explode(rules) r").where("r.rule = 'symbols'").selectExpr("min(r.rate) a", "max(r.rate) b").first()
+    assert 0.2 < rate.a and rate.b < 0.45
+
+
+def test_hosts_that_differ_are_told_apart_and_each_rule_has_its_own_rate(spark):
+    bad = judged(spark, 2000, 5, "id div 5 % 4 = 0 OR pmod(xxhash64(id), 50) = 0")
+    found = quality.hosts(bad)
+    assert found.where("rejected").count() == 500
+    assert found.where("rejected AND int(substr(host, 2)) % 4 <> 0").count() == 0
+    half = judged(spark, 400, 10, "id % 10 < 4").unionByName(judged(spark, 400, 10, "id % 10 < 4", "word_length"))
+    # Each rule fails a fifth of the host's documents; taken together they would be two fifths.
+    rules = quality.hosts(half).selectExpr("explode(rules) r").selectExpr("r.rule", "r.rate").distinct().collect()
+    assert {r.rule: round(r.rate, 9) for r in rules} == {"base": 0.0, "symbols": 0.2, "dup_lines": 0.0, "word_length": 0.2}
+
+
+def test_hosts_of_one_document_and_a_single_host(spark):
+    assert quality.hosts(judged(spark, 300, 1, "id % 3 < 2")).where("rejected").count() == 300
+    assert quality.hosts(judged(spark, 1, 300, "id % 3 < 1")).where("rejected").count() == 0
+
+
 def test_kept_rows_keep_their_columns(make):
     rows = cases()
     df = make(SCHEMA, rows).withColumn("n_words", F.lit("x")).withColumn("kept", F.lit(1)).withColumn("key", F.lit(2)).withColumn("host", F.lit(0))
