@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from crewlens import vocabulary as V
 from crewlens.functions import aggregates as A
-from crewlens.functions.parsing import col, date_of, icontains, norm_eq, num_of, ts_of
+from crewlens.functions.parsing import DATE_FORMATS, col, date_of, icontains, norm_eq, num_of, ts_of
 from crewlens.functions.scalars import band, clip, pct, ratio, round_half_even, tenure_years, two_way
 from crewlens.operators import stats
 from crewlens.operators.columns import column_or, first_existing, select_existing, standardize_id
@@ -38,12 +38,14 @@ INDICATORS = (
 )
 
 
-def employee_master(df: DataFrame, order: str = ROW, drop_null_period: bool = False) -> DataFrame:
+def employee_master(
+    df: DataFrame, order: str = ROW, drop_null_period: bool = False, formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
     """Latest workforce row per employee; rows without an id are dropped."""
     keyed = standardize_id(df, V.ID_PRIMARY, KEY).where(col(KEY).isNotNull())
     if V.PERIOD not in keyed.columns:
         return keyed.drop(order)
-    dated = keyed.withColumn(V.PERIOD, date_of(keyed, V.PERIOD))
+    dated = keyed.withColumn(V.PERIOD, date_of(keyed, V.PERIOD, formats))
     return latest_per_key(dated, [KEY], V.PERIOD, order, drop_null_period).drop(order)
 
 
@@ -91,14 +93,15 @@ def review_facts(df: DataFrame, order: str = ROW) -> DataFrame:
 
 
 def integrated_employee(
-    workforce: DataFrame, reviews: DataFrame, absences: DataFrame, training: DataFrame, order: str = ROW
+    workforce: DataFrame, reviews: DataFrame, absences: DataFrame, training: DataFrame, order: str = ROW,
+    formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """Latest snapshot per employee with review, absence and training facts.
 
     Each input is reduced to one row per employee before the joins.
     """
     facts = [review_facts(reviews, order), absence_facts(absences), training_facts(training)]
-    return fill_zero(enrich(employee_master(workforce, order), facts, KEY), FILLED)
+    return fill_zero(enrich(employee_master(workforce, order, formats=formats), facts, KEY), FILLED)
 
 
 def department_column(df: DataFrame) -> str:
@@ -120,11 +123,12 @@ def tenure_and_risk(
     reference: str = V.REFERENCE_DATE,
     risk_tenure: float = V.RISK_TENURE_YEARS,
     risk_absence: float = V.RISK_ABSENCE_DAYS,
+    formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """The employee table with tenure in years and the risk flag."""
     entered = entered or entry_date(df)
     if entered:
-        dated = df.withColumn(entered, ts_of(df, entered))
+        dated = df.withColumn(entered, ts_of(df, entered, formats))
         dated = dated.withColumn("Tenure_Years", tenure_years(col(entered), reference, V.DAYS_PER_YEAR))
     else:
         dated = df.withColumn("Tenure_Years", F.lit(None).cast("double"))
@@ -166,9 +170,10 @@ def employee_indicators(
     stage: bool = False,
     entered: str | None = None,
     reference: str = V.REFERENCE_DATE,
+    formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """The employee table with all indicators, at the default thresholds and bands."""
-    return training_measures(tenure_and_risk(df, entered, reference), department, stage=stage)
+    return training_measures(tenure_and_risk(df, entered, reference, formats=formats), department, stage=stage)
 
 
 def indicator_view(df: DataFrame, department: str | None = None) -> DataFrame:

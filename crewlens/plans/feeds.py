@@ -33,6 +33,11 @@ def absence_mix(mix: DataFrame, k: int = LARGEST_GROUPS) -> DataFrame:
     return mix.orderBy(F.col("absence_days").desc_nulls_last(), "absence_group").limit(k)
 
 
+def training_vs_performance(summary: DataFrame) -> DataFrame:
+    """Score per training band."""
+    return summary.select("training_band", "avg_performance_score")
+
+
 def chart_feeds(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All chart tables from the KPI tables."""
     return {
@@ -44,7 +49,5 @@ def chart_feeds(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "value_creation_efficiency": tables["finance"]
         .select("year", "nbi_per_fte", "personnel_cost_per_fte")
         .orderBy("year"),
-        "training_vs_performance": tables["training_perf_summary"].select(
-            "training_band", "avg_performance_score"
-        ),
+        "training_vs_performance": training_vs_performance(tables["training_perf_summary"]),
     }

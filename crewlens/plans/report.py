@@ -1,7 +1,7 @@
 """The whole report: sources to result tables, chart feeds, text facts and the employee table."""
 
 from collections.abc import Collection, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from crewlens import vocabulary as V
 from crewlens.functions.parsing import DATE_FORMATS, date_of, dayfirst_of, num_of
-from crewlens.operators import stats
+from crewlens.operators import dates, stats
 from crewlens.operators.rows import drop_missing
 from crewlens.plans import employee, feeds, kpis, prepare
 from crewlens.session import materialise
+from crewlens.sources import publish
 from crewlens.sources.readers import load_sources, read_csv
-from crewlens.sources.writers import save_employee_table, save_kpi_lines, save_tables
+from crewlens.sources.writers import kpi_lines, save_employee_table, save_kpi_lines, save_tables
 
 # Results with a row per employee; everything else is of report size.
 EMPLOYEE_GRAIN = ("absence_by_employee", "performance_2023", "performance_2024")
@@ -37,9 +38,30 @@ class Options:
     department: str | None = None
     entered: str | None = None
     reference: str = V.REFERENCE_DATE
-
-
-def source_quality(sources: Mapping[str, DataFrame], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    column_dates: bool = False
+    #: Complete versions to keep; 0 writes in place.
+    versions: int = 0
+    #: Date patterns of single columns (``<sheet>.<header>``), where they differ from ``date_formats``.
+    column_formats: Mapping[str, Sequence[str]] = field(default_factory=dict)
+
+    def formats(self, sheet: str, column: str) -> Sequence[str]:
+        """Date patterns of a column."""
+        return self.column_formats.get(f"{sheet}.{column}", self.date_formats)
+
+
+def with_column_dates(sources: Mapping[str, DataFrame], options: Options) -> Options:
+    """The options with the date patterns of each date column chosen by all of its values."""
+    staff = sources["workforce"]
+    entered = options.entered or employee.entry_date(staff)
+    dated = {"workforce": [V.PERIOD, *([entered] if entered else [])], "absenteeism": [V.ABSENCE_DATE]}
+    chosen = {}
+    for sheet, columns in dated.items():
+        found = dates.column_layouts(sources[sheet], columns)
+        chosen |= {f"{sheet}.{c}": dates.LAYOUTS[layout] for c, layout in found.items()}
+    return replace(options, column_formats={**chosen, **options.column_formats})
+
+
+def source_quality(sources: Mapping[str, DataFrame], options: Options = Options()) -> DataFrame:
     """Per sheet and typed column: rows, given values, and those that cannot be read."""
     dated = {"workforce": V.PERIOD, "absenteeism": V.ABSENCE_DATE}
     surveyed = {"training_quick": V.SURVEY_DATE, "training_cold": V.SURVEY_DATE}
@@ -48,7 +70,7 @@ def source_quality(sources: Mapping[str, DataFrame], formats: Sequence[str] = DA
     for sheet, df in sources.items():
         read = {}
         if sheet in dated:
-            read[dated[sheet]] = date_of(df, dated[sheet], formats)
+            read[dated[sheet]] = date_of(df, dated[sheet], options.formats(sheet, dated[sheet]))
         if sheet in surveyed:
             read[surveyed[sheet]] = dayfirst_of(df, surveyed[sheet])
         if sheet in numbered:
@@ -64,11 +86,11 @@ def kpi_tables(sources: Mapping[str, DataFrame], share: bool = False, options: O
     ``share`` writes the combined reviews, which three results read, to the shared folder
     once; the other inputs are projections that each reader prunes for itself.
     """
-    workforce = prepare.workforce(sources["workforce"], options.date_formats)
+    workforce = prepare.workforce(sources["workforce"], options.formats("workforce", V.PERIOD))
     reviews = prepare.performance_2024(sources["performance_2024"])
     if share:
         reviews = materialise(reviews, "reviews")
-    absences = prepare.absenteeism(sources["absenteeism"], options.date_formats)
+    absences = prepare.absenteeism(sources["absenteeism"], options.formats("absenteeism", V.ABSENCE_DATE))
     training = prepare.training_records(sources["training_records"])
     quick = prepare.training_quick(sources["training_quick"])
     cold = prepare.training_cold(sources["training_cold"])
@@ -92,13 +114,14 @@ def kpi_tables(sources: Mapping[str, DataFrame], share: bool = False, options: O
     }
 
 
-def employee_table(sources: Mapping[str, DataFrame]) -> DataFrame:
+def employee_table(sources: Mapping[str, DataFrame], options: Options = Options()) -> DataFrame:
     """The integrated employee table as a lazy plan."""
     return employee.integrated_employee(
         sources["workforce"],
         sources["performance_working"],
         sources["absenteeism"],
         sources["training_records"],
+        formats=options.formats("workforce", V.PERIOD),
     )
 
 
@@ -139,22 +162,32 @@ def run(
     and its indicators are written there too before their readers start. Chart feeds and text
     facts are made from the written KPI tables. ``session.discard_copies`` removes the copies once the returned
     tables are no longer needed; the command line does.
+
+    Results are written in place, table by table. With ``options.versions`` they become a new
+    version, which readers (``publish.read_published``) see once it is complete; so many versions
+    are kept.
     """
+    target, version = out, 0
+    if options.versions:
+        version, out = publish.begin(spark, target)
     sources = load_sources(spark, root, fmt, options.sep, encoding=options.encoding, multi_line=options.multi_line)
     if fmt == "csv":
         sources = {n: materialise(t, n) for n, t in sources.items()}
+    if options.column_dates:
+        options = with_column_dates(sources, options)
     tables = kpi_tables(sources, share=True, options=options)
     save_tables(tables, f"{out}/tables", SINGLE)
     saved = saved_tables(spark, f"{out}/tables", tables)
 
-    integrated = materialise(employee_table(sources), "employee")
+    integrated = materialise(employee_table(sources, options), "employee")
     judged = employee.employee_indicators(
-        integrated, options.department, stage=True, entered=options.entered, reference=options.reference
+        integrated, options.department, stage=True, entered=options.entered, reference=options.reference,
+        formats=options.formats("workforce", options.entered or employee.entry_date(integrated) or ""),
     )
     indicators = materialise(judged, "indicators")
     save_employee_table(indicators, f"{out}/employee", options.department or employee.department_column(indicators))
     analytics = employee_tables(integrated, indicators, options.department)
-    checks = {"source_counts": stats.profile_counts(sources), "source_quality": source_quality(sources, options.date_formats)}
+    checks = {"source_counts": stats.profile_counts(sources), "source_quality": source_quality(sources, options)}
     save_tables({**checks, **analytics}, f"{out}/analytics", SINGLE)
 
     facts = kpis.insight_facts(
@@ -163,7 +196,14 @@ def run(
         )],
         year=options.year,
     )
-    save_tables(feeds.chart_feeds(saved), f"{out}/feeds")
+    charts = feeds.chart_feeds(saved)
+    save_tables(charts, f"{out}/feeds")
     save_tables({"insight_facts": facts}, f"{out}/facts", SINGLE)
     save_kpi_lines(saved["kpi_summary"], f"{out}/headline")
+    if version:
+        folders = {"tables": tables, "analytics": {**checks, **analytics}, "feeds": charts, "facts": {"insight_facts": facts}}
+        written = {f"{f}/{n}": ("csv", t.schema) for f, group in folders.items() for n, t in group.items()}
+        written |= {"employee/csv": ("csv", indicators.schema), "employee/parquet": ("parquet", indicators.schema)}
+        written["headline"] = ("text", kpi_lines(saved["kpi_summary"]).schema)
+        publish.commit(spark, target, version, written, options.versions)
     return {**tables, **analytics, "insight_facts": facts, "employee_indicators": indicators}

@@ -76,13 +76,20 @@ _copies: list[str] = []
 
 
 def discard_copies(spark: SparkSession) -> None:
-    """Delete what ``materialise`` has written in this process; tables that read it end with it."""
+    """Delete what was written to ``scratch`` paths in this process; tables that read it end with it."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     while _copies:
         path = jvm.org.apache.hadoop.fs.Path(_copies.pop())
         path.getFileSystem(conf).delete(path, True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that ``discard_copies`` deletes."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _copies.append(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -90,7 +97,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     copy lets each reader prune columns, and its known size lets joins choose a broadcast.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    _copies.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,6 +1,6 @@
 """Queries over the driver's tables and the SQL they are checked against."""
 
-from gate import operators, results
+from gate import operators, results, sources
 from gate.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "operators", "results"]
+__all__ = ["ORACLES", "QUERIES", "operators", "results", "sources"]
