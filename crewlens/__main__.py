@@ -22,6 +22,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--multi-line", nargs="*", default=(), help="CSV sheets with line breaks inside cells")
     parser.add_argument("--date-format", action="append", help="layout of dates that are not ISO; may be repeated")
     parser.add_argument("--column-dates", action="store_true", help="choose day or month first by all values of a date column")
+    parser.add_argument("--buckets", type=int, default=0, help="deal the employee sheets to so many buckets first")
     parser.add_argument("--versions", type=int, default=0, help="publish as a new version and keep so many; 0 writes in place")
     parser.add_argument("--year", type=int, default=V.REPORT_YEAR, help="year of the report")
     parser.add_argument("--department", help="column of the department")
@@ -31,7 +32,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     spark = session(scan_bytes=given.scan_bytes, cores=given.cores)
     options = report.Options(
         given.sep, given.encoding, tuple(given.multi_line), tuple(given.date_format or DATE_FORMATS), given.year,
-        given.department, given.entry_date, given.reference_date, given.column_dates, given.versions,
+        given.department, given.entry_date, given.reference_date, given.column_dates, given.buckets, given.versions,
     )
     report.run(spark, given.root, given.out, given.format, options)
     discard_copies(spark)

@@ -5,10 +5,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.functions.parsing import col
+from crewlens.functions.parsing import col, quoted
 from crewlens.session import materialise
 
 SALTS = 16
+# Rows of one group that a task should get, groups that may have more, and what the sketch tracks.
+ROWS_PER_TASK = 4_000_000
+HOT_KEYS = 1000
+TRACKED = 20_000
+# Salts of rows without a group, which match no facts.
+LOOSE_SALTS = 1024
+# Bytes of the tables read from which on the groups are measured.
+MEASURE_FROM = 128 << 20
 
 
 def leaf_bytes(df: DataFrame) -> int:
@@ -26,27 +34,59 @@ def salt_of(df: DataFrame, spread: Sequence[str] = (), salts: int = SALTS) -> Co
     return F.pmod(F.xxhash64(*[col(c) for c in spread or df.columns]), F.lit(salts)).cast("int")
 
 
+def measured_fan_out(rows: DataFrame, group: str, rows_per_task: int = ROWS_PER_TASK, keys: int = HOT_KEYS) -> DataFrame:
+    """The groups with more rows than a task should get, and over how many tasks to spread each.
+
+    A sketch of heavy hitters finds them in one aggregation; there are ``keys`` of them at most,
+    and any group with a few ten-thousandths of all rows is among the candidates.
+    """
+    top = rows.where(col(group).isNotNull()).agg(F.expr(f"approx_top_k({quoted(group)}, {keys}, {TRACKED})").alias("t"))
+    found = top.select(F.inline("t").alias(group, "_count")).where(F.col("_count") > rows_per_task)
+    return found.select(col(group), F.ceil(F.col("_count") / rows_per_task).cast("int").alias("_fan"))
+
+
+def _spread_by_heat(rows: DataFrame, facts: DataFrame, group: str, spread: Sequence[str], rows_per_task: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with a salt below the fan-out of their group, and facts copied as often."""
+    hot = measured_fan_out(rows, group, rows_per_task).withColumnRenamed(group, "_hot")
+    # HOT_KEYS rows at most.
+    known = [d.join(F.broadcast(hot), col(group) == F.col("_hot"), "left").drop("_hot") for d in (rows, facts)]
+    fan = F.coalesce("_fan", F.when(col(group).isNull(), F.lit(LOOSE_SALTS)).otherwise(F.lit(1)))
+    salt = F.pmod(F.xxhash64(*[col(c) for c in spread or rows.columns]), fan).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_fan", F.lit(1)) - 1))
+    return known[0].withColumn("_salt", salt).drop("_fan"), known[1].withColumn("_salt", copies).drop("_fan")
+
+
 def join_group_facts(
     rows: DataFrame,
     facts: DataFrame,
     group: str,
     how: str = "left",
     spread: Sequence[str] = (),
-    salts: int = SALTS,
+    salts: int | None = None,
     stage: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join facts with one row per group to rows of any group size.
 
-    The shuffle key is (group, salt): a large group, or the rows without a group, go to as
-    many tasks as there are salts. An aggregation by group on top then combines per task
-    before its own shuffle, and the runtime may split a hot partition further, which it does
-    not do where the aggregation relies on the join's partitioning.
+    The shuffle key is (group, salt): a large group, or the rows without a group, go to many
+    tasks. An aggregation by group on top then combines per task before its own shuffle, and the
+    runtime may split a hot partition further, which it does not do where the aggregation relies
+    on the join's partitioning.
+
+    Large inputs are measured first: a group gets a salt for every ``rows_per_task`` of its rows,
+    and cold groups get none, so that facts are copied only where that helps. Inputs that are too
+    small for a second look, as the planner knows their tables, get ``SALTS`` for every group;
+    ``salts`` states a number for all groups.
 
     ``stage=True`` writes the facts to the shared folder first. With their size in bytes known,
     the planner may broadcast them by its own threshold; then the rows are not shuffled at all.
     """
     if stage:
         facts = materialise(facts, "facts")
-    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", salt_of(rows, spread, salts))
+    if salts is None and leaf_bytes(rows) > MEASURE_FROM:
+        salted, copies = _spread_by_heat(rows, facts, group, spread, rows_per_task)
+    else:
+        salts = salts or SALTS
+        copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salted = rows.withColumn("_salt", salt_of(rows, spread, salts))
     return salted.join(copies, [group, "_salt"], how).drop("_salt")

@@ -38,22 +38,27 @@ INDICATORS = (
 )
 
 
+def keyed(df: DataFrame, source: str) -> DataFrame:
+    """The sheet with its id column as the employee key; a sheet that has the key stays as it is."""
+    return df.drop(source) if KEY in df.columns else standardize_id(df, source, KEY)
+
+
 def employee_master(
     df: DataFrame, order: str = ROW, drop_null_period: bool = False, formats: Sequence[str] = DATE_FORMATS
 ) -> DataFrame:
     """Latest workforce row per employee; rows without an id are dropped."""
-    keyed = standardize_id(df, V.ID_PRIMARY, KEY).where(col(KEY).isNotNull())
-    if V.PERIOD not in keyed.columns:
-        return keyed.drop(order)
-    dated = keyed.withColumn(V.PERIOD, date_of(keyed, V.PERIOD, formats))
+    staff = keyed(df, V.ID_PRIMARY).where(col(KEY).isNotNull())
+    if V.PERIOD not in staff.columns:
+        return staff.drop(order)
+    dated = staff.withColumn(V.PERIOD, date_of(staff, V.PERIOD, formats))
     return latest_per_key(dated, [KEY], V.PERIOD, order, drop_null_period).drop(order)
 
 
 def absence_facts(df: DataFrame) -> DataFrame:
     """Absence days and events per employee, from the best day column the sheet has."""
     days = first_existing(df, V.ABSENCE_DAYS_PREFERENCE)
-    keyed = standardize_id(df, V.EMPLOYEE_CODE, KEY)
-    return group_nonnull(keyed.select(KEY, num_of(keyed, days).alias("_days")), KEY).agg(
+    events = keyed(df, V.EMPLOYEE_CODE)
+    return group_nonnull(events.select(KEY, num_of(events, days).alias("_days")), KEY).agg(
         A.amount0("_days").alias("Total_Absence_Days"),
         F.count("_days").alias("Absence_Count"),
     )
@@ -61,11 +66,11 @@ def absence_facts(df: DataFrame) -> DataFrame:
 
 def training_facts(df: DataFrame) -> DataFrame:
     """Hours of all sessions (negatives as zero), distinct and completed sessions per employee."""
-    keyed = standardize_id(df, V.EMPLOYEE_CODE, KEY)
+    sessions = keyed(df, V.EMPLOYEE_CODE)
     done = norm_eq(col(V.TRAINING_STATUS), V.TRAINING_DONE) if V.TRAINING_STATUS in df.columns else F.lit(True)
-    rows = keyed.select(
+    rows = sessions.select(
         KEY,
-        clip(num_of(keyed, V.TRAINING_HOURS), low=0.0).alias("_hours"),
+        clip(num_of(sessions, V.TRAINING_HOURS), low=0.0).alias("_hours"),
         col(V.SESSION).alias("_session"),
         done.alias("_done"),
     )
@@ -78,13 +83,13 @@ def training_facts(df: DataFrame) -> DataFrame:
 
 def review_facts(df: DataFrame, order: str = ROW) -> DataFrame:
     """The best review row per employee: completed ones first, then by score."""
-    keyed = standardize_id(df, V.WORKING_ID, KEY).where(col(KEY).isNotNull())
+    reviews = keyed(df, V.WORKING_ID).where(col(KEY).isNotNull())
     if V.WORKING_DOCUMENT_STATUS in df.columns:
         done = icontains(col(V.WORKING_DOCUMENT_STATUS), V.REVIEW_DONE_STEM)
     else:
         done = norm_eq(column_or(df, V.REVIEW_STATUS), V.REVIEW_DONE)
-    score = num_of(keyed, V.REVIEW_SCORE) if V.REVIEW_SCORE in df.columns else F.lit(None).cast("double")
-    flagged = keyed.withColumns(
+    score = num_of(reviews, V.REVIEW_SCORE) if V.REVIEW_SCORE in df.columns else F.lit(None).cast("double")
+    flagged = reviews.withColumns(
         {"Review_Completed_Flag": done.cast("int"), "Performance_Score_Numeric": score}
     )
     best = ["Review_Completed_Flag", "Performance_Score_Numeric"]

@@ -12,7 +12,7 @@ from crewlens.functions.parsing import DATE_FORMATS, date_of, dayfirst_of, num_o
 from crewlens.operators import dates, stats
 from crewlens.operators.rows import drop_missing
 from crewlens.plans import employee, feeds, kpis, prepare
-from crewlens.session import materialise
+from crewlens.session import materialise, materialise_bucketed
 from crewlens.sources import publish
 from crewlens.sources.readers import load_sources, read_csv
 from crewlens.sources.writers import kpi_lines, save_employee_table, save_kpi_lines, save_tables
@@ -39,6 +39,8 @@ class Options:
     entered: str | None = None
     reference: str = V.REFERENCE_DATE
     column_dates: bool = False
+    #: Buckets of the sheets of the employee table; 0 leaves them as they are.
+    buckets: int = 0
     #: Complete versions to keep; 0 writes in place.
     versions: int = 0
     #: Date patterns of single columns (``<sheet>.<header>``), where they differ from ``date_formats``.
@@ -114,6 +116,23 @@ def kpi_tables(sources: Mapping[str, DataFrame], share: bool = False, options: O
     }
 
 
+#: Id columns of the sheets that the employee table is made of.
+KEYED = {
+    "workforce": V.ID_PRIMARY, "performance_working": V.WORKING_ID, "absenteeism": V.EMPLOYEE_CODE, "training_records": V.EMPLOYEE_CODE,
+}
+
+
+def bucketed_sources(sources: Mapping[str, DataFrame], buckets: int) -> dict[str, DataFrame]:
+    """The sheets of the employee table, dealt to buckets by employee once.
+
+    Every later step by employee, in this and in further reports on the same tables, then runs
+    inside a bucket: the employee table is made without a shuffle.
+    """
+    return {
+        name: materialise_bucketed(employee.keyed(sources[name], source), name, employee.KEY, buckets) for name, source in KEYED.items()
+    }
+
+
 def employee_table(sources: Mapping[str, DataFrame], options: Options = Options()) -> DataFrame:
     """The integrated employee table as a lazy plan."""
     return employee.integrated_employee(
@@ -179,7 +198,8 @@ def run(
     save_tables(tables, f"{out}/tables", SINGLE)
     saved = saved_tables(spark, f"{out}/tables", tables)
 
-    integrated = materialise(employee_table(sources, options), "employee")
+    dealt = bucketed_sources(sources, options.buckets) if options.buckets else sources
+    integrated = materialise(employee_table(dealt, options), "employee")
     judged = employee.employee_indicators(
         integrated, options.department, stage=True, entered=options.entered, reference=options.reference,
         formats=options.formats("workforce", options.entered or employee.entry_date(integrated) or ""),

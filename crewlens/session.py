@@ -100,3 +100,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write a table to the shared folder, dealt to buckets by a key and sorted by it, and read it.
+
+    Steps by that key on tables of the same number of buckets need no shuffle. Rows are dealt
+    before they are written, so that a bucket is one file.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, f"`{key}`").write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", scratch(spark, name)).saveAsTable(table)
+    return spark.table(table)

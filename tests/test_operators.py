@@ -255,6 +255,31 @@ def test_group_facts_are_joined_by_group_and_salt(make):
         assert values(out.select("g", "x", "f"), "x") == [("a", 1, 10), ("b", 2, 20), ("c", 3, 30), (None, 4, None)]
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_groups_get_tasks_by_their_rows_and_cold_ones_none(spark, monkeypatch, how):
+    monkeypatch.setattr(lookup, "MEASURE_FROM", 0)
+    df = spark.range(60_000).selectExpr("id", "case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else 'c' || id % 2000 end g")
+    facts = df.where("g is not null").groupBy("g").agg(F.count("*").alias("n"))
+    fans = {r.g: r._fan for r in lookup.measured_fan_out(df, "g", 500).collect()}
+    assert fans == {"hot": 40}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        out = lookup.join_group_facts(df, facts, "g", how, ["id"], rows_per_task=500)
+        placed = out.withColumn("task", F.spark_partition_id()).groupBy("g").agg(F.count_distinct("task").alias("t"), F.count("*").alias("n")).collect()
+    finally:
+        for key in ("adaptive.enabled", "autoBroadcastJoinThreshold"):
+            spark.conf.unset(f"spark.sql.{key}")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    tasks = {r.g: r.t for r in placed}
+    assert tasks["hot"] > 20 and all(t == 1 for g, t in tasks.items() if g not in ("hot", None))
+    assert tasks.get(None, 30) > 25
+    plain = df.join(facts, "g", how)
+    assert out.groupBy("g").agg(F.count("*"), F.sum("n")).orderBy("g").collect() == plain.groupBy("g").agg(F.count("*"), F.sum("n")).orderBy("g").collect()
+    assert sorted(out.columns) == sorted(plain.columns)
+
+
 def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     class Cluster:
         conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})

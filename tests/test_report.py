@@ -210,6 +210,21 @@ def test_parquet_sheets_give_the_same_results(spark, sources, tables, tmp_path):
     assert list(some) == ["workforce"]
 
 
+def test_bucketed_sheets_give_the_employee_table_without_a_shuffle(spark, sources):
+    plain = report.employee_table(sources)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = report.bucketed_sources(sources, 4)
+        table = report.employee_table(dealt)
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3
+        first = plain.columns[0]
+        assert table.columns and sorted(table.columns) == sorted(plain.columns)
+        assert values(table.select(*[f"`{c}`" for c in plain.columns]), employee.KEY) == values(plain, employee.KEY), first
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_period_filter_reaches_a_typed_workforce_scan(spark, make, tmp_path):
     rows = [(f"e{i}", None, f"2024-{1 + i % 12:02d}-01", "F", "Female", "P", "x", "30") for i in range(24)]
     names = [V.ID_PRIMARY, V.ID_BACKUP, V.PERIOD, V.COUNTRY_LABEL, V.GENDER_LABEL, V.CONTRACT_LABEL, V.ENTITY_LABEL, V.AGE_RANGE]
