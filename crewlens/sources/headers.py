@@ -72,7 +72,7 @@ def _read_first(spark: SparkSession, path: str, sep: str, encoding: str) -> list
 
 def layouts(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     sep: str = ",",
     encoding: str = "UTF-8",
     clean: Callable[[str], str] = str,
@@ -84,7 +84,7 @@ def layouts(
     Files without any text have no header and are left out.
     """
     # The list as Spark would read it: globs resolved, hidden files left out.
-    files = sorted(map(unquote, spark.read.text(path).inputFiles()))
+    files = sorted(map(unquote, spark.read.text(path if isinstance(path, str) else list(path)).inputFiles()))
     groups: dict[tuple[str, ...], list[str]] = {}
     with ThreadPoolExecutor(READERS) as pool:
         for file, header in zip(files, pool.map(lambda f: _read_first(spark, f, sep, encoding), files), strict=True):

@@ -65,7 +65,8 @@ def _read_layout(
     return raw.select(*names, made.alias(ROW)) if ordinal else raw.select(*names)
 
 
-def _text(names: Iterable[str]) -> T.StructType:
+def text_schema(names: Iterable[str]) -> T.StructType:
+    """Text columns of the given names."""
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
@@ -97,7 +98,7 @@ def reconciled(
             raise ValueError(f"unknown columns in {path}: " + ", ".join(f"{n!r} in {f}" for n, f in extra.items()))
         names = list(expected) if unknown == "drop" else [*expected, *[n for n in names if n in extra]]
     parts = [
-        _read_layout(spark, path if len(found) == 1 else layout.files, _text(layout.names), ordinal, sep, encoding, multi_line, split_bytes)
+        _read_layout(spark, path if len(found) == 1 else layout.files, text_schema(layout.names), ordinal, sep, encoding, multi_line, split_bytes)
         for layout in found
     ]
     # Ordinals of the sheets themselves and made ones do not mix.
