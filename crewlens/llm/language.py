@@ -11,7 +11,8 @@ these centroids and the document frequencies pass through the driver.
 
 Nulls and edges: a null text, or one without a letter, is ``und`` with score 0, and so is every
 text if nothing could be learned. Rows without doc_id are neither learned from nor held out.
-Repeated rows are predicted alike. An empty table gives no rows.
+Repeated rows are predicted alike. Equal cosines go to the language that sorts first. Long texts
+are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ PER_LANGUAGE = 2000
 CENTROIDS = 4
 ROUNDS = 12
 DIMENSIONS = 4096
+#: Texts turned into vectors at once.
+ROWS = 256
 GRAMS = (1, 2, 3)
 #: The share of a centroid's own sample that lies inside its radius.
 INSIDE = 0.995
@@ -74,9 +77,19 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return np.divide(v, norm, out=v, where=norm > 0)
 
 
-def vectors(texts: pa.Array, idf: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+def counted(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """First row, one past the last row and their gram counts, ``ROWS`` texts at a time at most: a
+    text takes a row of ``DIMENSIONS`` numbers, however short it is."""
     for start, stop, buf, offsets in chunks(texts):
-        yield start, stop, weighted(gram_counts(buf, offsets), idf)
+        for low in range(start, stop, ROWS):
+            high = min(stop, low + ROWS)
+            own = offsets[low - start : high - start + 1]
+            yield low, high, gram_counts(buf[own[0] : own[-1]], own - own[0])
+
+
+def vectors(texts: pa.Array, idf: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    for start, stop, counts in counted(texts):
+        yield start, stop, weighted(counts, idf)
 
 
 def cluster(points: np.ndarray, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,8 +117,8 @@ def document_frequencies(labelled: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(DIMENSIONS, np.int64), 0
         for batch in batches:
-            for _, _, buf, offsets in chunks(batch.column(0)):
-                seen += (gram_counts(buf, offsets) > 0).sum(axis=0)
+            for _, _, counts in counted(batch.column(0)):
+                seen += (counts > 0).sum(axis=0)
             rows += batch.num_rows
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(DIMENSIONS + 1)), pa.array(np.append(seen, rows))], ["dimension", "n"]

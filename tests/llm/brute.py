@@ -271,3 +271,69 @@ def next_likeness(rows):
         sha = hashlib.sha256(new.encode()).hexdigest()
         out.append((doc_id, len(text), sha, digest(text), digest(new), near(text, new), near(text, following)))
     return out
+
+
+def gram_dimensions(text, dimensions=4096):
+    """How often the text's folded byte n-grams fall into each dimension."""
+    data = []
+    for b in lower(text).encode():
+        white, sign = b in (9, 10, 11, 12, 13), 0x21 <= b < 0x80 and not chr(b).isalpha()
+        data.append(0x20 if white else 0x2E if sign else b)
+    out = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(data) - n + 1):
+            h = n
+            for b in data[i : i + n]:
+                h = (h * 256 + b) % 2**64
+            for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+                h = ((h ^ h >> 33) * factor) % 2**64
+            out[(h ^ h >> 33) % dimensions] += 1
+    return out
+
+
+def language_vector(text, idf):
+    v = {d: math.log1p(c) * idf[d] for d, c in gram_dimensions(text).items()}
+    norm = math.sqrt(sum(x * x for x in v.values()))
+    return {d: x / norm for d, x in v.items()} if norm else {}
+
+
+def dot(a, b):
+    return sum(x * b.get(d, 0.0) for d, x in a.items())
+
+
+def centred(points):
+    mean = defaultdict(float)
+    for p in points:
+        for d, x in p.items():
+            mean[d] += x / len(points)
+    return dict(mean)
+
+
+def unit(v):
+    norm = max(math.sqrt(sum(x * x for x in v.values())), 1e-12)
+    return {d: x / norm for d, x in v.items()}
+
+
+def language(rows, centroids=4, rounds=12):
+    """(doc_id, held_out, language, score) for rows (doc_id, lang, text) of few documents."""
+    known = [(lang, d, t) for d, lang, t in rows if d is not None and lang is not None and t is not None and fold(d) != 0]
+    seen = Counter(x for _, _, t in known for x in gram_dimensions(t))
+    idf = {d: math.log((1 + len(known)) / (1 + seen[d])) + 0.05 for d in range(4096)}
+    centres = []
+    for lang in sorted({x for x, _, _ in known}):
+        points = [language_vector(t, idf) for _, _, t in sorted((x for x in known if x[0] == lang), key=lambda x: x[1])]
+        c = [centred(points)]
+        while len(c) < min(centroids, len(points)):
+            c.append(min(points, key=lambda p: max(dot(p, x) for x in c)))
+        for _ in range(rounds):
+            c = [unit(x) for x in c]
+            own = [max(range(len(c)), key=lambda j: dot(p, c[j])) for p in points]
+            c = [centred([p for p, o in zip(points, own, strict=True) if o == j]) if j in own else c[j] for j in range(len(c))]
+        centres += [(lang, unit(x)) for x in c]
+    out = []
+    for d, _, t in rows:
+        letters = any(ch.isalpha() for ch in t or "")
+        v = language_vector(t or "", idf)
+        best = max(centres, key=lambda c: dot(v, c[1])) if centres and letters else None
+        out.append((d, d is not None and fold(d) == 0, best[0] if best else "und", dot(v, best[1]) if best else 0.0))
+    return out
