@@ -13,8 +13,9 @@ The trie's levels are flat arrays in one buffer, which can be written to a file
 contexts, a monotone sequence of pointers to each context's first pair, and the pairs' second
 words, made monotone by adding their context's share of the number space. Both sequences are
 Elias-Fano coded. A pair is found by a successor search inside its context's range. Each pair
-has its probability, quantised on a logarithmic scale, in one byte (within a context, pairs are
-in proportion to their probabilities).
+has its count, quantised on a logarithmic scale, in two bytes: any 64-bit count, to a thousandth of
+a power of two. Probabilities are made from it where the texts are scored, since the smoothing
+needs the second word's count, which lies in another shard.
 
 A first word with more than ``1 / HOT`` of a shard's share of all words is hot; its pairs are
 spread over all shards by their second word. Hot words are found by a count that keeps, in each
@@ -43,7 +44,7 @@ _U = np.uint64
 START, END = _U(0x1111111111111111), _U(0x2222222222222222)
 MU = 200.0
 HOT = 8
-STEPS = 8
+STEPS = 1024
 SHORT = _U((1 << 48) - 1)
 PARCEL = "to int, origin int, kind int, data binary"
 _parcel = pa.schema([("to", pa.int32()), ("origin", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -136,7 +137,7 @@ class EliasFano:
 
 
 class Trie:
-    """Contexts, their pairs' second words and quantised probabilities, in one flat buffer."""
+    """Contexts, their pairs' second words and quantised counts, in one flat buffer."""
 
     def __init__(self, buffer: bytes | np.ndarray) -> None:
         raw = np.frombuffer(buffer, np.uint8) if isinstance(buffer, bytes) else buffer
@@ -146,8 +147,8 @@ class Trie:
             parts.append(raw[at : at + size])
             at += -(-int(size) // 8) * 8
         contexts, vocabulary, plow, phigh, wlow, whigh, codes = parts
-        self.contexts, self.vocabulary, self.codes = contexts.view(_U), vocabulary.view(_U), codes
-        pairs = len(codes)
+        self.contexts, self.vocabulary, self.codes = contexts.view(_U), vocabulary.view(_U), codes.view(np.uint16)
+        pairs = len(self.codes)
         self.pointers = EliasFano(int(head[7]), len(self.contexts) + 1, plow.view(_U), phigh.view(_U))
         self.words = EliasFano(int(head[8]), pairs, wlow.view(_U), whigh.view(_U))
 
@@ -172,8 +173,8 @@ class Trie:
         return b"".join([head.tobytes(), *[a.tobytes() + bytes(-a.nbytes % 8) for a in arrays]])
 
     def codes_of(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Quantised probabilities of pairs, 0 for those that are not there."""
-        out = np.zeros(len(context), np.uint8)
+        """Quantised counts of pairs, 0 for those that are not there."""
+        out = np.zeros(len(context), np.uint16)
         if not len(self.codes):
             return out
         c = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
@@ -190,9 +191,10 @@ class Trie:
 
 
 def quantised(count: np.ndarray) -> np.ndarray:
-    """One byte on a scale of eighths of a power of two; 0 only for 0."""
+    """Two bytes on a scale of ``STEPS`` to a power of two; 0 only for 0. The largest 64-bit count
+    has a code as well."""
     code = 1 + np.rint(STEPS * np.log2(np.maximum(count, 1)))
-    return np.where(count > 0, np.minimum(code, 255), 0).astype(np.uint8)
+    return np.where(count > 0, code, 0).astype(np.uint16)
 
 
 def restored(code: np.ndarray) -> np.ndarray:
@@ -280,6 +282,12 @@ def _added(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray]
     return [k[at][sums > 0] for k in keys], sums[sums > 0]
 
 
+def _places(owner: np.ndarray, parts: int) -> list[np.ndarray]:
+    """Where each part's items stand, in order, from one sort."""
+    order = np.argsort(owner, kind="stable")
+    return np.split(order, np.searchsorted(owner[order], np.arange(1, parts)))
+
+
 def _rows(out: list[tuple[int, int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else ((),) * 4, _parcel.types, strict=True)], schema=_parcel)
 
@@ -324,13 +332,11 @@ def scores(docs: DataFrame, folds: int = 5, held: int = 1, mu: float = MU) -> Da
         ones, pairs = own.trained(batch.column("train").to_numpy().astype(bool))
         to_one, to_pair = own.shards(hot, shards)
         out = []
-        for to in range(shards):
-            at = np.flatnonzero(to_one == to)
+        for to, (at, pair) in enumerate(zip(_places(to_one, shards), _places(to_pair, shards), strict=True)):
             if len(at):
                 out.append((to, origin, ONES, np.array([len(at)], np.int64).tobytes() + own.ones[at].tobytes() + _small(ones[at])))
-            at = np.flatnonzero(to_pair == to)
-            if len(at):
-                out.append((to, origin, PAIRS, _write_pairs(own.first[at], own.second[at], pairs[at])))
+            if len(pair):
+                out.append((to, origin, PAIRS, _write_pairs(own.first[pair], own.second[pair], pairs[pair])))
         return _rows(out)
 
     def answer(got: pa.Table) -> pa.Table:
@@ -367,14 +373,14 @@ def scores(docs: DataFrame, folds: int = 5, held: int = 1, mu: float = MU) -> Da
     def finish(answers: pa.Table, batch: pa.Table) -> pa.Table:
         own = Bucket(batch.column("text"))
         to_one, to_pair = own.shards(hot, shards)
-        ones, codes = np.zeros(len(own.ones), np.int64), np.zeros(len(own.first), np.uint8)
+        ones, codes = np.zeros(len(own.ones), np.int64), np.zeros(len(own.first), np.uint16)
+        one_places, pair_places = _places(to_one, shards), _places(to_pair, shards)
         for origin, kind, data in zip(*(answers.column(c).to_pylist() for c in ("origin", "kind", "data")), strict=True):
-            raw = np.frombuffer(data, np.uint8)
             if kind == ONES:
-                at = np.flatnonzero(to_one == origin)
-                ones[at] = _counts(raw, len(at))
+                at = one_places[origin]
+                ones[at] = _counts(np.frombuffer(data, np.uint8), len(at))
             else:
-                codes[to_pair == origin] = raw
+                codes[pair_places[origin]] = np.frombuffer(data, np.uint16)
         single = (ones + 0.5) / (all_ + 0.5 * (distinct + 1))
         # START precedes every training text, as END closes each.
         contexts = np.where(own.ones == START, ones[np.searchsorted(own.ones, END)] if END in own.ones else 0, ones)
