@@ -65,19 +65,11 @@ select doc_id, cast(len(d.h) // 2 as bigint) n_bytes, cast(coalesce(gone.n, 0) a
        cast(coalesce(m, 0) as bigint) n_spans, sha256(unhex(coalesce(left_.h, d.h))) kept_sha256
 from d left join gone using (doc_id) left join left_ using (doc_id)"""
 
-_ROUNDS = ",\n".join(
-    f"""r{i + 1} as (
-  select kind, host, sum(score) score from (
-    select e.kind, e.dst host, r.score * e.part * {urls.DAMPING} score from r{i} r join e on e.kind = r.kind and e.src = r.host
-    union all select * from r0)
-  group by all)"""
-    for i in range(urls.ROUNDS)
-)
 _RULES = ", ".join(f"('{v}', '{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}')" for v, r in urls.RULES)
 _HOST = r"translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), '" + f"{UPPER}', '{LOWER}')"
 
 OP6 = rf"""
-with u as (select page_id, html, coalesce({_HOST.format("url")}, '') host,
+with recursive u as (select page_id, html, coalesce({_HOST.format("url")}, '') host,
                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') path from pages),
 rules(verdict, rule, h, p) as (values {_RULES}),
 hit as (select page_id, rule, verdict from u join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
@@ -90,9 +82,11 @@ pairs as (select src, {_HOST.format("case when starts_with(link, '//') then 'htt
 edges as (select src, dst, count(*) n from pairs where dst <> '' and dst <> src group by all),
 ways as (select 'trust' kind, src, dst, n from edges union all select 'distrust', dst, src, n from edges),
 e as (select kind, src, dst, n / sum(n) over (partition by kind, src) part from ways),
-{_ROUNDS},
+handed as (select 0 hop, * from r0
+  union all select hop + 1, e.kind, e.dst, sum(score * part * {urls.DAMPING}) from handed join e on e.kind = handed.kind and e.src = handed.host
+  where hop < {urls.HOPS} group by hop, e.kind, e.dst),
 t as (select host, coalesce(sum(score) filter (where kind = 'trust'), 0) trust,
-             coalesce(sum(score) filter (where kind = 'distrust'), 0) distrust from r{urls.ROUNDS} group by 1)
+             coalesce(sum(score) filter (where kind = 'distrust'), 0) distrust from handed group by 1)
 select page_id, host, path, rule,
        coalesce(verdict, case when distrust > {urls.MOST_DISTRUST} * (trust + distrust) then 'block' else 'allow' end) verdict,
        round(coalesce(trust, 0), 6) trust, round(coalesce(distrust, 0), 6) distrust

@@ -34,8 +34,8 @@ DAMPING = 0.85
 TOLERANCE = 1e-9
 #: Hops between two writes.
 CUT = 3
-#: Hops that the SQL writes out; the operator has no such end.
-ROUNDS = 8
+#: Hops that the SQL goes, by which 1e-11 of a score is left; the operator has no such end.
+HOPS = 160
 MOST_DISTRUST = 0.5
 LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]+)"
 

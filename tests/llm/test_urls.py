@@ -1,10 +1,12 @@
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from crewlens.llm import urls
+from crewlens.llm import queries, urls
 from crewlens.llm.common import table
+from crewlens.llm.oracles import ORACLES
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -72,7 +74,7 @@ def test_trust_and_distrust_spread_over_links(make):
     # The same iteration written out.
     edges = {"good.com": {"a.org": 0.5, "b.org": 0.5}, "bad.net": {"c.org": 1}, "spam.org": {"bad.net": 1}, "a.org": {"b.org": 1}, "far.org": {"spam.org": 1}}
     trust = {"good.com": 0.15}
-    for _ in range(urls.ROUNDS):
+    for _ in range(50):
         new = {"good.com": 0.15}
         for s, out in edges.items():
             for d, part in out.items():
@@ -82,12 +84,29 @@ def test_trust_and_distrust_spread_over_links(make):
         assert r.trust == pytest.approx(trust.get(r.host, 0))
 
 
-def test_far_hosts_and_cycles_get_their_whole_score(make):
-    # A chain of 24 hosts to a blocked one, a late flip at its tenth, and a cycle that is trusted.
+def far_hosts():
+    """A chain of 24 hosts to a blocked one, a late flip at its tenth, and a cycle that is trusted."""
     out = {f"h{i}.org": [f"h{i - 1}.org" if i > 1 else "bad.net"] for i in range(1, 25)}
     out |= {"good.com": ["h10.org", "ring0.org", *[f"x{i}.org" for i in range(8)]]}
     out |= {f"ring{i}.org": [f"ring{(i + 1) % 3}.org"] for i in range(3)}
-    rows = [(i, f"http://{h}/", link(*to)) for i, (h, to) in enumerate(out.items())] + [(99, "http://bad.net/es/", None)]
+    return out, [(i, f"http://{h}/", link(*to)) for i, (h, to) in enumerate(out.items())] + [(99, "http://bad.net/es/", None)]
+
+
+def test_the_sql_goes_as_far_as_the_operator(make, tmp_path):
+    _, rows = far_hosts()
+    make(SCHEMA, rows).coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(f"select page_id, host, path, rule, verdict, trust, distrust from ({ORACLES['op6_url_filters']})").fetchall()
+    got = queries.op6_url_filters(make(SCHEMA, []).sparkSession, str(tmp_path)).select(
+        "page_id", "host", "path", "rule", "verdict", "trust", "distrust"
+    )
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert sum(r[5] > 0 for r in want) > 12 and sum(r[6] > 0 for r in want) > 24
+
+
+def test_far_hosts_and_cycles_get_their_whole_score(make):
+    out, rows = far_hosts()
     got = {r.host: r for r in urls.judge(make(SCHEMA, rows).repartition(4)).collect()}
     edges = [(s, d, 1 / len(to)) for s, to in out.items() for d in to]
     back = [(d, s, 1 / sum(d in to for to in out.values())) for s, to in out.items() for d in to]
