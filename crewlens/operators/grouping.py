@@ -27,6 +27,13 @@ def group_nonnull(df: DataFrame, *keys: str) -> GroupedData:
     return drop_missing(df, *keys).groupBy(*[col(k) for k in keys])
 
 
+def by_year(df: DataFrame, date: Column, aggregates: Mapping[str, Column], keep_null: bool = True) -> DataFrame:
+    """Aggregates per ``year`` of a date; rows without a readable date form a last group, or go."""
+    dated = df.withColumn("year", F.year(date))
+    groups = dated.groupBy("year") if keep_null else group_nonnull(dated, "year")
+    return groups.agg(*[c.alias(n) for n, c in aggregates.items()]).orderBy(F.col("year").asc_nulls_last())
+
+
 def label_dimension(df: DataFrame, key: str, labels: Sequence[str]) -> DataFrame:
     """One row per label with its ordinal ``_ord``."""
     names = F.array(*[F.lit(x) for x in labels])

@@ -87,6 +87,15 @@ def best_per_key(df: DataFrame, keys: Sequence[str], best: Sequence[str], row: s
     return one_per_key(df, keys, [*[col(b).desc_nulls_last() for b in best], col(row).asc()])
 
 
+def first_rows(df: DataFrame, best: Sequence[str], n: int, *ties: str) -> DataFrame:
+    """The first n rows by several descending keys, missing ones last, ties in ascending order.
+
+    Sorted and cut in one step: every task hands on n rows at most.
+    """
+    order = [*[col(b).desc_nulls_last() for b in best], *[col(t).asc_nulls_last() for t in ties]]
+    return df.orderBy(*order).limit(n)
+
+
 def top_k(df: DataFrame, by: str, k: int, *ties: str) -> DataFrame:
     """The k rows with the highest value, planned as a bounded top-k without a full sort."""
-    return df.orderBy(col(by).desc_nulls_last(), *[col(t).asc_nulls_last() for t in ties]).limit(k)
+    return first_rows(df, [by], k, *ties)

@@ -10,7 +10,7 @@ from crewlens import vocabulary as V
 from crewlens.functions import aggregates as A
 from crewlens.functions.parsing import eq_flag
 from crewlens.functions.scalars import band, pct, ratio, round_half_even
-from crewlens.operators.grouping import group_complete, group_nonnull, totals_with_mode
+from crewlens.operators.grouping import by_year, group_complete, group_nonnull, totals_with_mode
 from crewlens.operators.joins import full_outer
 from crewlens.operators.reshape import stack_rows
 from crewlens.operators.rows import drop_missing, in_year, latest_snapshot, lookup_or
@@ -74,16 +74,15 @@ def training_kpis(training: DataFrame, done: str = V.TRAINING_DONE, key: str = "
     )
 
 
-def _by_survey_year(surveys: DataFrame, done: str, *aggregates: Column) -> DataFrame:
-    dated = surveys.where(F.col("status") == done).withColumn("year", F.year("date"))
-    return group_nonnull(dated, "year").agg(*aggregates).orderBy("year")
+def _by_survey_year(surveys: DataFrame, done: str, **aggregates: Column) -> DataFrame:
+    return by_year(surveys.where(F.col("status") == done), F.col("date"), aggregates, keep_null=False)
 
 
 def quick_scores(quick: DataFrame, done: str = V.SURVEY_DONE) -> DataFrame:
     """Rating of completed quick surveys per year."""
     rating = F.col("general_rating")
     return _by_survey_year(
-        quick, done, F.avg(rating).alias("avg_training_rating"), F.count(rating).alias("rating_responses")
+        quick, done, avg_training_rating=F.avg(rating), rating_responses=F.count(rating)
     )
 
 
@@ -92,8 +91,8 @@ def cold_impact(cold: DataFrame, done: str = V.SURVEY_DONE) -> DataFrame:
     return _by_survey_year(
         cold,
         done,
-        F.avg("impact_positive_rate").alias("avg_positive_impact_rate"),
-        A.sum0(F.col("impact_answer_count")).alias("impact_responses"),
+        avg_positive_impact_rate=F.avg("impact_positive_rate"),
+        impact_responses=A.sum0(F.col("impact_answer_count")),
     )
 
 

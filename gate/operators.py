@@ -141,7 +141,7 @@ order by score desc nulls last, o_totalprice desc, o_orderkey limit 10""")
 def sort_and_head(spark: SparkSession, sf: str) -> DataFrame:
     score = F.when(F.col("o_orderpriority") < "5", P.parse_num(sheets.priority())).alias("score")
     orders = table(spark, sf, "orders").select("o_orderkey", score, "o_totalprice")
-    return orders.orderBy(F.desc_nulls_last("score"), F.desc_nulls_last("o_totalprice"), "o_orderkey").limit(10)
+    return rows.first_rows(orders, ["score", "o_totalprice"], 10, "o_orderkey")
 
 
 # --- Joins ---------------------------------------------------------------------------------
@@ -277,9 +277,8 @@ def group_median(spark: SparkSession, sf: str) -> DataFrame:
 @query("group_by_derived_year", """
 select cast(year(o_orderdate) as bigint) as year, count(distinct o_custkey) heads from orders group by 1""")
 def group_by_derived_year(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(
-        F.count_distinct("o_custkey").alias("heads")
-    )
+    heads = {"heads": F.count_distinct("o_custkey")}
+    return grouping.by_year(table(spark, sf, "orders"), F.col("o_orderdate"), heads)
 
 
 @query("parse_period", """
