@@ -131,6 +131,23 @@ def test_splits_at_every_byte_give_the_same_rows(spark, tmp_path):
         got = records.read_records(spark, str(path), schema, split_bytes=split)
         rows = got.orderBy("_file", "_start", "_seq").select("a", "b", "c").collect()
         assert [tuple(r) for r in rows] == want, split
+    shuffled = records.read_records(spark, str(path), schema, split_bytes=9, most_blocks=0)
+    assert sorted(tuple(r) for r in shuffled.select("a").collect()) == sorted((w[0],) for w in want)
+
+
+def test_records_of_many_batches_and_blocks(spark, tmp_path):
+    """Arrow batches of a few lines, so that records and blocks reach over them."""
+    rows = [(str(i), "x" if i % 3 else f'l{i}\n"q"\n\nend', str(i % 5)) for i in range(500)]
+    with (tmp_path / "t.csv").open("w", newline="", encoding="utf-8") as out:
+        csv.writer(out, lineterminator="\n").writerows([("a", "b", "c"), *rows])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in "abc"])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        for split in (50, 333, 1 << 20):
+            got = records.read_records(spark, str(tmp_path / "t.csv"), schema, split_bytes=split)
+            assert [tuple(r) for r in got.orderBy("_start", "_seq").select("a", "b", "c").collect()] == rows
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_same_rows_as_one_task_reading(spark, tmp_path):
