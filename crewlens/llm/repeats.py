@@ -42,6 +42,8 @@ ANCHOR = 32
 DIGIT = 8
 SPREAD = 2
 _U = np.uint64
+#: Bits of a place in a chunk; places are 32-bit numbers in the records as well.
+PLACE_BITS = _U(32)
 #: A record: a run of strings with one anchor. doc and tid name the text, first and last are the
 #: starts of the run's strings, anchor is the place of their anchor.
 RECORD = np.dtype(
@@ -59,9 +61,9 @@ def runs(buf: np.ndarray, offsets: np.ndarray, depth: int = DEPTH, anchor: int =
         return np.zeros(0, RECORD)
     ranges = Ranges(buf)
     hashes = ranges.windows(anchor)
-    bits = _U(max(1, int(len(buf)).bit_length()))
-    low = (_U(1) << bits) - _U(1)
-    # The place is part of the value, so that the smallest value tells where it is.
+    # The place is part of the value, so that the smallest value tells where it is. It takes as many
+    # bits in every chunk: a string must have the same anchor wherever it is met.
+    low = (_U(1) << PLACE_BITS) - _U(1)
     best = (hashes & ~low) | np.arange(len(hashes), dtype=_U)
     width, size = depth - anchor + 1, 1
     while size * 2 <= width:

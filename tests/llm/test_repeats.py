@@ -99,3 +99,18 @@ def test_radix_groups_are_the_equal_strings():
     for i, s in enumerate(starts):
         by.setdefault(buf[s : s + 20].tobytes(), []).append(i)
     assert got == sorted(tuple(g) for g in by.values() if len(g) > 1)
+
+
+def test_a_string_has_the_same_anchor_in_buffers_of_any_size(monkeypatch):
+    """Also where hashes differ in their lower bits only."""
+    rng = np.random.default_rng(5)
+    text = rng.integers(97, 123, 400, dtype=np.uint8)
+    real = repeats.Ranges.windows
+    monkeypatch.setattr(repeats.Ranges, "windows", lambda self, size: real(self, size) >> np.uint64(44))
+
+    def found(filler):
+        buf = np.concatenate([text, rng.integers(97, 123, filler, dtype=np.uint8)])
+        got = repeats.runs(buf, np.array([0, len(text), len(buf)]))
+        return got[got["doc"] == 0][["key", "whole", "first", "runs", "back"]].tolist()
+
+    assert found(200) == found(100_000) == found(1_500_000)
