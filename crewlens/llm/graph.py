@@ -2,12 +2,71 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.common import saved
 
 
+#: Edges that a task contracts at once, and written parts that it reads.
+AT_ONCE = 1 << 20
+PARTS = 32
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges' components as stars: every node but the smallest, and the smallest of its component."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        # Hang the roots of both ends on the lower one, then shorten all ways to the roots.
+        np.minimum.at(new, label[x], low)
+        np.minimum.at(new, label[y], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    own = label != np.arange(len(nodes))
+    return nodes[own], nodes[label[own]]
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """Fewer edges (a, b) that connect the same nodes: a group of n nodes leaves n - 1 per task,
+    however many edges it has there.
+
+    ``edges`` must be cheap to read, as a written table is: a task reads ``PARTS`` of its parts. It
+    holds ``AT_ONCE`` edges at most and hands on what it has when contracting them frees too little.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def shrunk() -> tuple[np.ndarray, np.ndarray]:
+            return stars(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+        for batch in batches:
+            held.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
+            size += batch.num_rows
+            if size >= AT_ONCE:
+                held = [shrunk()]
+                size = len(held[0][0])
+                if size > AT_ONCE // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], ["a", "b"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in shrunk()], ["a", "b"])
+
+    parts = edges.rdd.getNumPartitions()
+    return edges.select("a", "b").coalesce(max(1, parts // PARTS)).mapInArrow(work, "a long, b long")
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Every neighbour is hung on the smallest node around: the larger ones, or the smaller ones."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.common import LAST, saved, texts_of
-from crewlens.llm.graph import components, partial_components
+from crewlens.llm.graph import components, contracted, partial_components
 from crewlens.llm.packing import packed, unpacked
 from crewlens.llm.texts import LOWER, Ranges, chunks, combine, mix, words
 
@@ -497,7 +497,7 @@ def _linked(open_: DataFrame, class_texts: DataFrame, maps: DataFrame, k: int, p
             fresh = fresh.join(known, ["a", "b"], "left_anti")
         done = saved(verified(fresh, class_texts, k, percent))
         known = done if known is None else known.unionByName(done)
-        found = known.where("linked").select("a", "b")
+        found = contracted(known.where("linked").select("a", "b"))
         # Between the rounds it is enough to know most of what hangs together.
         roots = partial_components(found) if turn < PIVOT_ROUNDS else components(found)
     return roots

@@ -142,3 +142,29 @@ def test_prefixes_share_the_first_common_token():
         if 100 * both >= 75 * (len(a) + len(b) - both):
             first, _, size = jaccard.prefixes(np.concatenate([a, b]), np.array([len(a), len(b)]), a[:3], np.array([1, 2, 1])[: len(a[:3])], 75)
             assert set(first[: size[0]].tolist()) & set(first[size[0] :].tolist())
+
+
+def test_contracted_edges_connect_the_same_nodes(spark, monkeypatch):
+    rng = random.Random(7)
+    for n, m in ((1, 1), (5, 3), (60, 40), (60, 400), (400, 390), (3, 5000)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        a, b = (np.array(x, np.int64) for x in zip(*edges))
+        node, root = graph.stars(a * 7 - 9, b * 7 - 9)
+        parent = list(range(n))
+
+        def top(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for x, y in edges:
+            low, high = sorted((top(x), top(y)))
+            parent[high] = low
+        want = {x * 7 - 9: top(x) * 7 - 9 for x in range(n) if top(x) != x}
+        assert dict(zip(node.tolist(), root.tolist(), strict=True)) == want
+    df = spark.range(0, 4000, numPartitions=64).selectExpr("id % 50 a", "pmod(xxhash64(id), 50) b")
+    few = graph.contracted(df)
+    assert few.count() <= 2 * 49 and graph.components(few).count() == graph.components(df).count() == 50
+    monkeypatch.setattr(graph, "AT_ONCE", 8)
+    assert graph.components(graph.contracted(df)).select("root").distinct().count() == 1
+    assert graph.contracted(df.where("a < 0")).count() == 0
