@@ -7,6 +7,10 @@ second pass every block streams its lines in file order and joins those of each
 shuffle. Only records that reach over the end of a block are put together afterwards, from two
 pieces per block at most, which a third pass that makes nothing else looks up.
 
+A task streams as many blocks as make up ``SPLIT_BYTES``, one after another, so that small blocks
+do not cost a task and a Python worker's start each; inputs too small for that are dealt to
+``TASKS_PER_CORE`` tasks per core.
+
 The state of the blocks reaches the lines by a broadcast up to ``MOST_BLOCKS`` blocks, and beyond
 by a join, for which the lines are shuffled by block and sorted.
 
@@ -28,6 +32,7 @@ from crewlens.operators.lookup import leaf_bytes
 SPLIT_BYTES = 128 << 20
 #: A block's state is some 200 bytes.
 MOST_BLOCKS = 100_000
+TASKS_PER_CORE = 3
 BLOCK = ["file", "block"]
 FILE, START, SEQ, RECORD = "_file", "_start", "_seq", "_record"
 WHOLE, LEAD, TAIL = 0, 1, 2
@@ -191,13 +196,23 @@ def _joined(rows: DataFrame, parts: bool) -> DataFrame:
     return rows.mapInArrow(lambda batches: _Joiner(parts).batches(batches), shape)
 
 
+def _in_tasks(rows: DataFrame) -> DataFrame:
+    """Lines of several blocks per task, if blocks are small; each block stays whole and in order.
+
+    ``seq`` is made ahead of this, by the split, and does not depend on the number of tasks.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(leaf_bytes(rows) // SPLIT_BYTES, cores * TASKS_PER_CORE))
+
+
 def records(rows: DataFrame, split_bytes: int = SPLIT_BYTES, most_blocks: int = MOST_BLOCKS) -> DataFrame:
     """file, block and seq of the first line, record, is_header: all records that are not blank.
 
     ``rows`` are ``lines`` in splits of ``split_bytes``.
     """
+    size, rows = leaf_bytes(rows), _in_tasks(rows)
     state = blocks(rows)
-    if leaf_bytes(rows) // split_bytes <= most_blocks:
+    if size // split_bytes <= most_blocks:
         # Scan order is kept by a broadcast.
         met = rows.join(F.broadcast(state), BLOCK, "left")
     else:

@@ -150,6 +150,20 @@ def test_records_of_many_batches_and_blocks(spark, tmp_path):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_small_blocks_share_tasks(spark, tmp_path):
+    rows = [(str(i), f'l{i}\n"q"' if i % 2 else "x") for i in range(2000)]
+    with (tmp_path / "t.csv").open("w", newline="", encoding="utf-8") as out:
+        csv.writer(out, lineterminator="\n").writerows([("a", "b"), *rows])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in "ab"])
+    path, split = str(tmp_path / "t.csv"), 40
+    cut = records.lines(spark, path, split_bytes=split)
+    assert cut.rdd.getNumPartitions() > 400
+    for most in (records.MOST_BLOCKS, 0):
+        got = records.read_records(spark, path, schema, split_bytes=split, most_blocks=most)
+        assert [tuple(r) for r in got.orderBy("_start", "_seq").select("a", "b").collect()] == rows
+        assert got.rdd.getNumPartitions() < 100
+
+
 def test_same_rows_as_one_task_reading(spark, tmp_path):
     rng = random.Random(6)
     folder = tmp_path / "t.csv"
