@@ -132,7 +132,7 @@ def medians(
     )
     told = [c for c in spread or df.columns if c != group]
     apart = known.select(col(group), *named, F.xxhash64(*[col(c) for c in told]).alias("_apart"))
-    joined = join_group_facts(apart, brackets, group, "inner", ["_apart"], stage=stage)
+    joined = join_group_facts(apart, brackets, group, "inner", ["_apart"], stage=stage, held=True)
     cells = F.array(*[_clamped(i, n) for i, n in enumerate(values)])
     counted = (
         joined.select(col(group).alias("_g"), F.inline(cells))

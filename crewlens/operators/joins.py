@@ -55,4 +55,4 @@ def with_group_medians(
     ``medians`` for the options.
     """
     table = medians(df, group, values, spread, approx, stage)
-    return join_group_facts(df, table, group, "left", spread, stage=stage)
+    return join_group_facts(df, table, group, "left", spread, stage=stage, held=True)

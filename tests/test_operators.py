@@ -280,6 +280,41 @@ def test_hot_groups_get_tasks_by_their_rows_and_cold_ones_none(spark, monkeypatc
     assert sorted(out.columns) == sorted(plain.columns)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_facts_of_hot_groups_are_held_where_the_rows_are(spark, monkeypatch, how):
+    monkeypatch.setattr(lookup, "MEASURE_FROM", 0)
+    monkeypatch.setattr(lookup, "HELD_FROM", 500)
+    df = spark.range(0, 60_000, 1, 30).selectExpr("id", "case when id % 3 = 0 then 'hot' when id % 5 = 0 then 'bare' when id % 7 = 0 then null else 'c' || id % 2000 end g")
+    facts = df.where("g <> 'bare'").groupBy("g").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        out = lookup.join_group_facts(df, facts, "g", how, ["id"], held=True)
+        hot = out.where("g = 'hot'").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert hot == 30
+    plain = df.join(facts, "g", how)
+    assert out.columns == plain.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_medians_of_hot_and_cold_groups(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "MEASURE_FROM", 0)
+    monkeypatch.setattr(lookup, "HELD_FROM", 500)
+    df = spark.range(0, 20_000, 1, 6).selectExpr(
+        "id", "case when id % 2 = 0 then 'hot' when id % 7 = 0 then null else 'c' || id % 40 end g",
+        "case when id % 11 <> 0 then cast(pmod(xxhash64(id), 3000) as double) / 8 end x",
+    )
+    want = {r.g: r.x for r in df.where("g is not null").groupBy("g").agg(F.median("x").alias("x")).collect()}
+    for most in (None, 5):
+        got = grouping.medians(df, "g", {"x": F.col("x")}, ["id"], most_sorted=most)
+        assert {r.g: r.x for r in got.collect()} == want
+    based = joins.with_group_medians(df, "g", {"m": F.col("x")}, ["id"])
+    assert based.count() == 20_000 and {r.g: r.m for r in based.select("g", "m").distinct().collect()} == want | {None: None}
+
+
 def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     class Cluster:
         conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
