@@ -62,12 +62,16 @@ class Pieces:
         known = {c for p in self.id for c in p}
         foreign = "" if "\n" in known else "\n"
         self.cut = re.compile(f"[{MARK}]*[^{MARK}{foreign}]+|[{MARK}]+" + (f"|{foreign}" if foreign else ""))
-        self.known: dict[str, tuple[str, bytes]] = {}
+        # Ids and decoded bytes of the segments met so far.
+        self.ids: dict[str, str] = {}
+        self.raw: dict[str, bytes] = {}
 
     def _tables(self) -> None:
         """Symbols by character, and for every mergeable pair the rank of the join."""
         self.symbols = sorted({*self.id, *(c for p in self.id for c in p)})
         number = {s: i for i, s in enumerate(self.symbols)}
+        coded = [self._coded(s) for s in self.symbols]
+        self.symbol_ids, self.symbol_raw = [c[0] for c in coded], [c[1] for c in coded]
         self.of_char = np.full(0x110000, -1, np.int32)
         for s, i in number.items():
             if len(s) == 1:
@@ -121,22 +125,31 @@ class Pieces:
         return [s for s in symbols if s]
 
     def together(self, segments: list[str]) -> list[list[str]]:
-        """Pieces of segments of one length: each step merges the best pair of every row."""
+        """Pieces of segments of one length, merged at the same time."""
+        out: list[list[str]] = [[]] * len(segments)
+        for who, _, starts in self._merged(segments):
+            for r, c in zip(who.tolist(), starts.tolist(), strict=True):
+                s = segments[r]
+                out[r] = [s[a:b] for a, b in zip(c, [*c[1:], len(s)], strict=True)]
+        return out
+
+    def _merged(self, segments: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Segments of one length: each step merges the best pair of every row. Numbers of segments
+        that are done, and of each its symbols (-1 for a foreign character) and where they start."""
         n, width = len(segments), len(segments[0])
         points = np.array(segments, dtype=f"<U{width}").view(np.uint32).reshape(n, width)
         row = self.of_char[points]
-        length = np.full(n, width)
         starts = np.tile(np.arange(width), (n, 1))
         rank, joins = self._look(row[:, :-1], row[:, 1:])
         rows = np.arange(n)
-        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while True:
             best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), int)
             live = rank[np.arange(len(rows)), best] != NONE if rank.shape[1] else np.zeros(len(rows), bool)
-            done.append((rows[~live], starts[~live], length[~live]))
+            if not live.all():
+                yield rows[~live], row[~live], starts[~live]
             if not live.any():
-                break
-            row, rank, joins, starts, rows, best, length = (x[live] for x in (row, rank, joins, starts, rows, best, length))
+                return
+            row, rank, joins, starts, rows, best = (x[live] for x in (row, rank, joins, starts, rows, best))
             i = np.arange(len(rows))
             row[i, best] = joins[i, best]
             # Drop the right symbol and its pair; both neighbouring pairs are looked up again.
@@ -146,43 +159,54 @@ class Pieces:
             gap = shift[:, :-1]
             rank = np.take_along_axis(rank, gap + (gap >= best[:, None]), 1)
             joins = np.take_along_axis(joins, gap + (gap >= best[:, None]), 1)
-            length = length - 1
             if not rank.shape[1]:
                 continue
             for near in (best - 1, best):
                 ok = np.flatnonzero((near >= 0) & (near < rank.shape[1]))
                 at = near[ok]
                 rank[ok, at], joins[ok, at] = self._look(row[ok, at], row[ok, at + 1])
-        out: list[list[str]] = [[]] * n
-        for who, cuts, size in done:
-            for r, c, k in zip(who.tolist(), cuts.tolist(), size.tolist(), strict=True):
-                s, c = segments[r], [*c[:k], width]
-                out[r] = [s[a:b] for a, b in zip(c, c[1:], strict=False)]
-        return out
+
+    def _coded(self, part: str) -> tuple[str, bytes]:
+        """Ids of a piece, or of the bytes of what is none, each followed by a space; decoded bytes."""
+        ids = [self.id[part]] if part in self.id else [self.byte[b] for b in part.encode()]
+        return "".join([f"{i} " for i in ids]), b"".join([self.bytes_of[i] for i in ids])
+
+    def _remember(self, segment: str, parts: list[str]) -> None:
+        coded = [self._coded(p) for p in parts]
+        self.ids[segment], self.raw[segment] = "".join([c[0] for c in coded]), b"".join([c[1] for c in coded])
 
     def learn(self, segments: set[str]) -> None:
         """Merge the segments that are new and remember their ids and decoded bytes."""
-        if len(self.known) + len(segments) > REMEMBERED:
-            self.known.clear()
-        fresh = [s for s in segments if s not in self.known]
+        if len(self.ids) + len(segments) > REMEMBERED:
+            self.ids.clear()
+            self.raw.clear()
         by_length: dict[int, list[str]] = {}
-        for s in fresh:
+        for s in segments.difference(self.ids):
             by_length.setdefault(len(s), []).append(s)
+        ids_of, raw_of = self.symbol_ids.__getitem__, self.symbol_raw.__getitem__
         for width, group in by_length.items():
-            split = self.together(group) if 1 < width <= SHORT else map(self.agenda, group)
-            for s, parts in zip(group, split, strict=True):
-                ids = [i for p in parts for i in ([self.id[p]] if p in self.id else [self.byte[b] for b in p.encode()])]
-                self.known[s] = ("".join(f"{i} " for i in ids), b"".join([self.bytes_of[i] for i in ids]))
+            if not 1 < width <= SHORT:
+                for s in group:
+                    self._remember(s, self.agenda(s))
+                continue
+            for who, row, starts in self._merged(group):
+                foreign = (row < 0).any(axis=1).tolist()
+                for i, (r, symbols, odd) in enumerate(zip(who.tolist(), row.tolist(), foreign, strict=True)):
+                    s = group[r]
+                    if odd:
+                        cuts = [*starts[i].tolist(), width]
+                        self._remember(s, [s[a:b] for a, b in zip(cuts, cuts[1:], strict=False)])
+                    else:
+                        self.ids[s], self.raw[s] = "".join(map(ids_of, symbols)), b"".join(map(raw_of, symbols))
 
     def encoded(self, texts: list[str]) -> Iterator[tuple[str, str]]:
         """Decimal ids joined by spaces, the end id last, and the text decoded from them."""
         cut = [self.cut.findall((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
-        self.learn({s for segments in cut for s in segments})
-        known = self.known
+        self.learn(set().union(*cut))
+        ids_of, raw_of = self.ids.__getitem__, self.raw.__getitem__
         for segments in cut:
-            found = [known[s] for s in segments]
-            decoded = b"".join([f[1] for f in found]).decode("utf-8", "replace")
-            yield "".join([f[0] for f in found]) + str(self.end), decoded[1:] if decoded[:1] == " " else decoded
+            decoded = b"".join(map(raw_of, segments)).decode("utf-8", "replace")
+            yield "".join(map(ids_of, segments)) + str(self.end), decoded[1:] if decoded[:1] == " " else decoded
 
 
 @lru_cache(maxsize=2)

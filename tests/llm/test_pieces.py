@@ -61,6 +61,20 @@ def test_both_agendas_agree():
         assert own.together(some) == [own.agenda(s) for s in some]
 
 
+def test_symbol_numbers_give_the_ids_of_the_agenda(monkeypatch):
+    """Segments of one length, with and without foreign characters, and forgotten in between."""
+    own = pieces.Pieces(public_tokenizers.path(pieces.MODEL))
+    monkeypatch.setattr(pieces, "REMEMBERED", 60)
+    rng = random.Random(4)
+    for width in (1, 2, 5, 30, 49):
+        some = {"▁" + "".join(rng.choice("abcdeinorst▁é日😀") for _ in range(width - 1)) for _ in range(50)}
+        own.learn(some)
+        assert len(own.ids) <= 60 and own.ids.keys() == own.raw.keys() and some <= own.ids.keys()
+        for s in some:
+            coded = [own._coded(p) for p in own.agenda(s)]
+            assert (own.ids[s], own.raw[s]) == ("".join(c[0] for c in coded), b"".join(c[1] for c in coded))
+
+
 def test_empty_and_clashing_columns(make):
     assert pieces.encode(make(SCHEMA, []), "doc_id").collect() == []
     df = make(SCHEMA, [(1, "hi")]).withColumn("k0", F.lit("x")).withColumn("n_tokens", F.lit(9))
