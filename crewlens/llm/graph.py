@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.common import saved
+from crewlens.llm.workers import lean
 
 
 #: Edges that a task contracts at once, and written parts that it reads.
@@ -64,7 +65,7 @@ def contracted(edges: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in shrunk()], ["a", "b"])
 
     parts = edges.rdd.getNumPartitions()
-    return edges.select("a", "b").coalesce(max(1, parts // PARTS)).mapInArrow(work, "a long, b long")
+    return edges.select("a", "b").coalesce(max(1, parts // PARTS)).mapInArrow(lean(work), "a long, b long")
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:

@@ -41,6 +41,7 @@ from crewlens.llm.common import LAST, saved, texts_of
 from crewlens.llm.graph import components, contracted, partial_components
 from crewlens.llm.packing import packed, unpacked
 from crewlens.llm.texts import LOWER, Ranges, chunks, combine, mix, words
+from crewlens.llm.workers import lean, lean_group
 
 WORDS = 5
 PERCENT = 75
@@ -173,7 +174,7 @@ def census(texts: DataFrame, k: int = WORDS) -> DataFrame:
                 ["kind", "doc", "tid", "n", "cid", "bits"],
             )
 
-    return texts.mapInArrow(count, "kind int, doc long, tid long, n long, cid long, bits array<long>")
+    return texts.mapInArrow(lean(count), "kind int, doc long, tid long, n long, cid long, bits array<long>")
 
 
 def frequent(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -276,7 +277,7 @@ def lists(texts: DataFrame, often: tuple[np.ndarray, np.ndarray], buckets: int,
             }
         )
 
-    return texts.mapInArrow(send, PARCEL).groupBy("bucket").applyInArrow(compare, "kind int, lid long, item long, n long, pos long")
+    return texts.mapInArrow(lean(send), PARCEL).groupBy("bucket").applyInArrow(lean_group(compare), "kind int, lid long, item long, n long, pos long")
 
 
 def members(listed: DataFrame) -> DataFrame:
@@ -335,7 +336,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
 
     left = texts.select(F.col("cid").alias("a"), F.col("packed").alias("text_a"))
     right = texts.select(F.col("cid").alias("b"), F.col("packed").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long, linked boolean")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(lean(check), "a long, b long, linked boolean")
 
 
 def _labelled(lists_: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -439,7 +440,7 @@ def link_counts(roots: DataFrame, sizes: DataFrame, class_texts: DataFrame, k: i
         "docs",
     )
     sent = met.join(class_texts.select("cid", "packed"), "cid").select("key", "side", "cid", "docs", "packed")
-    counts = sent.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _count(batches, k, percent), "cid long, links long")
+    counts = sent.repartition("key").sortWithinPartitions("key").mapInArrow(lean(lambda batches: _count(batches, k, percent)), "cid long, links long")
     return counts.groupBy("cid").agg(F.sum("links").alias("links"))
 
 

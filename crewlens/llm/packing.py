@@ -8,6 +8,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from crewlens.llm.workers import lean
+
 LEVEL = 3
 
 
@@ -23,7 +25,7 @@ def packed(df: DataFrame, column: str = "text") -> DataFrame:
             columns = [small if i == at else batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return df.mapInArrow(pack, shape)
+    return df.mapInArrow(lean(pack), shape)
 
 
 def unpacked(column: pa.ChunkedArray | pa.Array) -> pa.Array:

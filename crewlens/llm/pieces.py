@@ -11,7 +11,7 @@ length are merged together as rows of a matrix, one agenda step for all of them
 ones have an agenda of their own.
 
 Null and empty texts have the end id only and decode to the empty text. Memory: one chunk of
-texts and ``REMEMBERED`` segments per worker. One document of every Arrow batch is encoded by
+texts and ``REMEMBERED`` segments per task; between tasks a worker keeps the model only. One document of every Arrow batch is encoded by
 the library as well; a difference is an error.
 """
 
@@ -29,6 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crewlens.llm.workers import lean
+
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Segments up to so many characters are merged in matrices.
@@ -175,11 +177,14 @@ class Pieces:
         coded = [self._coded(p) for p in parts]
         self.ids[segment], self.raw[segment] = "".join([c[0] for c in coded]), b"".join([c[1] for c in coded])
 
+    def forget(self) -> None:
+        self.ids.clear()
+        self.raw.clear()
+
     def learn(self, segments: set[str]) -> None:
         """Merge the segments that are new and remember their ids and decoded bytes."""
         if len(self.ids) + len(segments) > REMEMBERED:
-            self.ids.clear()
-            self.raw.clear()
+            self.forget()
         by_length: dict[int, list[str]] = {}
         for s in segments.difference(self.ids):
             by_length.setdefault(len(s), []).append(s)
@@ -225,6 +230,12 @@ def encode(docs: DataFrame, *keys: str, model: str = MODEL, ids: bool = False) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pieces(model)
+        try:
+            yield from coded(own, batches)
+        finally:
+            own.forget()
+
+    def coded(own: Pieces, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = len(keys)
         for batch in batches:
             texts, at = batch.column("text"), 0
@@ -256,4 +267,4 @@ def encode(docs: DataFrame, *keys: str, model: str = MODEL, ids: bool = False) -
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["token_ids", "decoded"] if ids else [])]
     kinds = ["bigint", "string", "string", "array<int>", "string"]
     shape = ", ".join([f"k{i} {rows.schema[i].dataType.simpleString()}" for i in range(len(keys))] + [f"{a} {b}" for a, b in zip(names, kinds)])
-    return rows.mapInArrow(run, shape).toDF(*keys, *names)
+    return rows.mapInArrow(lean(run), shape).toDF(*keys, *names)

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from crewlens.llm.common import LAST, saved, texts_of
 from crewlens.llm.texts import Ranges, chunks, combine
+from crewlens.llm.workers import lean, lean_cogroup, lean_group
 
 DEPTH = 100
 ANCHOR = 32
@@ -294,12 +295,12 @@ def covered(texts: DataFrame, buckets: int, depth: int = DEPTH, anchor: int = AN
         found = np.concatenate(out)
         return pa.Table.from_batches([_batch(_parcels(found, _text_hash(found), buckets, SPANS))])
 
-    sent = texts.mapInArrow(send, PARCEL)
-    compared = saved(sent.groupBy("bucket").applyInArrow(compare, PARCEL))
+    sent = texts.mapInArrow(lean(send), PARCEL)
+    compared = saved(sent.groupBy("bucket").applyInArrow(lean_group(compare), PARCEL))
     unsure = compared.where(F.col("kind") == ANCHORS)
     fetched = by_text(texts, buckets).groupBy("bucket")
-    bytes_ = unsure.groupBy("bucket").cogroup(fetched).applyInArrow(fetch, PARCEL)
-    sorted_ = bytes_.groupBy("bucket").applyInArrow(sort, PARCEL)
+    bytes_ = unsure.groupBy("bucket").cogroup(fetched).applyInArrow(lean_cogroup(fetch), PARCEL)
+    sorted_ = bytes_.groupBy("bucket").applyInArrow(lean_group(sort), PARCEL)
     return compared.where(F.col("kind") == SPANS).unionByName(sorted_)
 
 
@@ -314,7 +315,7 @@ def by_text(texts: DataFrame, buckets: int) -> DataFrame:
             )
 
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
-    return texts.mapInArrow(deal, f"bucket int, {shape}")
+    return texts.mapInArrow(lean(deal), f"bucket int, {shape}")
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -361,7 +362,7 @@ def report(docs: DataFrame, depth: int = DEPTH, anchor: int = ANCHOR) -> DataFra
     return (
         found.groupBy("bucket")
         .cogroup(by_text(texts, buckets).groupBy("bucket"))
-        .applyInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        .applyInArrow(lean_cogroup(finish), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     )
 
 
@@ -386,6 +387,6 @@ def remove(docs: DataFrame, depth: int = DEPTH, anchor: int = ANCHOR) -> DataFra
         covered(texts, buckets, depth, anchor)
         .groupBy("bucket")
         .cogroup(by_text(carried, buckets).groupBy("bucket"))
-        .applyInArrow(finish, f"text string, row {out['row'].dataType.simpleString()}")
+        .applyInArrow(lean_cogroup(finish), f"text string, row {out['row'].dataType.simpleString()}")
     )
     return done.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
